@@ -20,12 +20,19 @@ COHORT = ["install_date", "campaign_id", "creative_id"]
 SOURCE = ["network", "country"]
 
 
-def cohort_installs(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """int_cohort_installs; days with zero installs are dropped (their spend too)."""
+def cohort_dims_join(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Ad days with installs, with campaign objective and creative format."""
     return (
         ads.where(F.col("installs") > 0)
         .join(campaigns.select("campaign_id", "objective"), "campaign_id")
         .join(creatives.select("creative_id", "format", "format_group"), "creative_id")
+    )
+
+
+def cohort_installs(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """int_cohort_installs; days with zero installs are dropped (their spend too)."""
+    return (
+        cohort_dims_join(ads, creatives, campaigns)
         .groupBy(
             F.col("stat_date").alias("install_date"), "campaign_id", "creative_id",
             "network", "country", "objective", "format", "format_group",
@@ -70,27 +77,85 @@ def revenue_through(day: int, dsi: str = "days_since_install", rev: str = "daily
     return dsum(F.when(cond, F.col(rev)).otherwise(F.lit(0.0)))
 
 
-def cohort_analysis(installs: DataFrame, revenue: DataFrame,
-                    cohort_days: tuple[int, ...] = K.COHORT_DAYS) -> DataFrame:
-    """mart_cohort_analysis: one wide row per (install_date, network, country).
+COHORT_WIDE_KEYS = ["install_date", "network", "country"]
 
-    Cohorts without revenue keep zeros; revenue without a cohort drops.
-    """
-    keys = ["install_date", "network", "country"]
-    base = installs.groupBy(*keys).agg(
+
+def cohort_base(installs: DataFrame) -> DataFrame:
+    """Installs, spend and the unweighted mean CAC per (date, network, country)."""
+    return installs.groupBy(*COHORT_WIDE_KEYS).agg(
         F.sum("cohort_installs").alias("total_installs"),
         dsum("cohort_spend_usd").alias("total_spend_usd"),
         exact_avg("cac_usd", 4).alias("avg_cac_usd"),
     )
+
+
+def revenue_rollup(revenue: DataFrame) -> DataFrame:
+    """Revenue per (date, network, country, cohort day); installs and spend of
+    one cohort, chosen deterministically (the reference's ``any``)."""
+    first = F.struct("campaign_id", "creative_id")
+
+    def any_of(c: str):
+        return F.min_by(c, F.when(F.col(c).isNotNull(), first))
+
+    return revenue.groupBy(*COHORT_WIDE_KEYS, "days_since_install").agg(
+        dsum("daily_revenue_usd").alias("revenue_usd"),
+        dsum("cumulative_revenue_usd").alias("cum_revenue_usd"),
+        any_of("cohort_installs").alias("installs"),
+        any_of("cohort_spend_usd").alias("spend_usd"),
+    )
+
+
+def cohort_revenue_long(installs: DataFrame, revenue: DataFrame) -> DataFrame:
+    """Cohort base left join the revenue roll-up: one row per cohort day,
+    cohorts without revenue kept with NULL revenue."""
+    return cohort_base(installs).join(revenue_rollup(revenue), COHORT_WIDE_KEYS, "left")
+
+
+def cohort_pivot_by_alias(installs: DataFrame, revenue: DataFrame) -> DataFrame:
+    """The reference's own shape of the pivot: join first, then group by the
+    base columns and by the computed alias ``cac_usd``."""
+    long = cohort_revenue_long(installs, revenue)
+    return long.groupBy(
+        *COHORT_WIDE_KEYS, "total_installs", "total_spend_usd",
+        rnd("avg_cac_usd", 4).alias("cac_usd"),
+    ).agg(rnd(revenue_through(7, rev="revenue_usd"), 2).alias("revenue_d7_usd"))
+
+
+def cohort_wide_sums(installs: DataFrame, revenue: DataFrame,
+                     cohort_days: tuple[int, ...] = K.COHORT_DAYS) -> DataFrame:
+    """Cohort base (installs, spend, mean CAC) with revenue through each
+    checkpoint day, per (install_date, network, country).
+
+    The reference joins the base to revenue rolled up per cohort day and then
+    groups again; since the base is unique on the join keys, summing revenue
+    per checkpoint first and joining once gives the same rows with both sides
+    hash-partitioned on the same three keys (no third shuffle).
+    """
+    keys = COHORT_WIDE_KEYS
+    base = cohort_base(installs)
     days = sorted({0, *cohort_days})
     rev = revenue.groupBy(*keys).agg(
         *[revenue_through(d, exact_day=(d == 0)).alias(f"rev_d{d}") for d in days]
     )
-    j = base.join(rev, keys, "left")
+    return base.join(rev, keys, "left").select(
+        *keys, "total_installs", "total_spend_usd", "avg_cac_usd",
+        *[F.coalesce(F.col(f"rev_d{d}"), F.lit(0.0)).alias(f"rev_d{d}") for d in days],
+    )
+
+
+def cohort_analysis(installs: DataFrame, revenue: DataFrame,
+                    cohort_days: tuple[int, ...] = K.COHORT_DAYS) -> DataFrame:
+    """mart_cohort_analysis: one wide row per (install_date, network, country).
+
+    Cohorts without revenue keep zeros; revenue without a cohort drops.
+    """
+    keys = COHORT_WIDE_KEYS
+    days = sorted({0, *cohort_days})
+    j = cohort_wide_sums(installs, revenue, cohort_days)
     ti, ts = F.col("total_installs"), F.col("total_spend_usd")
 
     def r(d: int) -> Column:
-        return F.coalesce(F.col(f"rev_d{d}"), F.lit(0.0))
+        return F.col(f"rev_d{d}")
 
     return j.select(
         *keys, "total_installs", "total_spend_usd",
@@ -102,16 +167,13 @@ def cohort_analysis(installs: DataFrame, revenue: DataFrame,
     )
 
 
-def unit_economics(installs: DataFrame, revenue: DataFrame, campaigns: DataFrame,
-                   denominator: str = "total") -> DataFrame:
-    """mart_unit_economics: one row per (campaign, network, country).
+CAMPAIGN_KEYS = ["campaign_id", "network", "country"]
 
-    ``denominator``: "total" divides revenue by the campaign's total installs;
-    "first_cohort" by the installs of its earliest cohort (a deterministic
-    stand-in for the reference's arbitrary ``any(cohort_installs)``).
-    """
-    keys = ["campaign_id", "network", "country"]
-    cc = (
+
+def campaign_cohorts(installs: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Cohorts rolled up per campaign: installs, spend and CAC."""
+    keys = CAMPAIGN_KEYS
+    return (
         installs.select(*keys, "cohort_installs", "cohort_spend_usd").join(
             campaigns.select("campaign_id", "campaign_name", "objective", "daily_budget_usd"),
             "campaign_id",
@@ -123,8 +185,13 @@ def unit_economics(installs: DataFrame, revenue: DataFrame, campaigns: DataFrame
         )
         .withColumn("cac_usd", rnd(ratio("total_spend_usd", "total_installs"), 4))
     )
+
+
+def ltv_checkpoints(revenue: DataFrame) -> DataFrame:
+    """Revenue through D7/D14/D30 and in total per campaign, and the installs
+    of the campaign's first cohort (the "first_cohort" denominator)."""
     has_cohort = F.col("cohort_installs").isNotNull()
-    lv = revenue.groupBy(*keys).agg(
+    return revenue.groupBy(*CAMPAIGN_KEYS).agg(
         revenue_through(7).alias("rev_7"),
         revenue_through(14).alias("rev_14"),
         revenue_through(30).alias("rev_30"),
@@ -132,7 +199,18 @@ def unit_economics(installs: DataFrame, revenue: DataFrame, campaigns: DataFrame
         F.min_by("cohort_installs", F.when(has_cohort, F.struct("install_date", "creative_id")))
         .alias("first_cohort_installs"),
     )
-    j = cc.join(lv, keys, "left")
+
+
+def unit_economics(installs: DataFrame, revenue: DataFrame, campaigns: DataFrame,
+                   denominator: str = "total") -> DataFrame:
+    """mart_unit_economics: one row per (campaign, network, country).
+
+    ``denominator``: "total" divides revenue by the campaign's total installs;
+    "first_cohort" by the installs of its earliest cohort (a deterministic
+    stand-in for the reference's arbitrary ``any(cohort_installs)``).
+    """
+    keys = CAMPAIGN_KEYS
+    j = campaign_cohorts(installs, campaigns).join(ltv_checkpoints(revenue), keys, "left")
     if denominator == "total":
         den = F.col("total_installs")
     elif denominator == "first_cohort":

@@ -22,17 +22,25 @@ from burnlens.functions.columns import dsum, exact_avg, flag, ratio, rnd, runnin
 CREATIVE_ORDER = ["stat_date", "campaign_id", "network", "country"]
 
 
-def daily_metrics(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """int_creative_daily_metrics: one row per staged ad row on or after launch."""
+def join_dims(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Ads inner creatives inner campaigns, then the residual stat_date >=
+    launch_date. Both dimensions are small-side hash joins: Spark broadcasts
+    them when their measured size is under the threshold and shuffles
+    otherwise (no unconditional broadcast hint)."""
     cre = creatives.select(
         "creative_id", "creative_name", "format", "format_group", "is_video", "launch_date"
     )
     camp = campaigns.select("campaign_id", "objective")
-    joined = (
+    return (
         ads.join(cre, "creative_id", "inner")
         .join(camp, "campaign_id", "inner")
         .where(F.col("stat_date") >= F.col("launch_date"))
     )
+
+
+def daily_metrics(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """int_creative_daily_metrics: one row per staged ad row on or after launch."""
+    joined = join_dims(ads, creatives, campaigns)
     w7 = trailing(["creative_id"], CREATIVE_ORDER, -6)
     cum = running(["creative_id"], CREATIVE_ORDER)
     return joined.select(
@@ -74,14 +82,33 @@ def _burnt(ctr_7d: Column, peak: Column, dol: Column, peak_dol: Column) -> Colum
     return (ctr_7d < peak * F.lit(K.BURNOUT_CTR_THRESHOLD)) & (dol > peak_dol)
 
 
-def burnout_events(metrics: DataFrame, peaks_df: DataFrame | None = None) -> DataFrame:
-    """int_burnout_events: first crossing below 70 % of peak after the peak day."""
-    p = peaks(metrics) if peaks_df is None else peaks_df
+def crossing_rows(metrics: DataFrame, peaks_df: DataFrame) -> DataFrame:
+    """Metrics inner peaks on creative_id plus the non-equi residuals: the
+    eligible days below 70 % of peak after the peak day."""
     return (
         metrics.where(_eligible())
-        .join(p.select("creative_id", "absolute_peak_ctr", "peak_day_of_life"), "creative_id")
+        .join(peaks_df.select("creative_id", "absolute_peak_ctr", "peak_day_of_life"), "creative_id")
         .where(_burnt(F.col("ctr_7d_avg"), F.col("absolute_peak_ctr"),
                       F.col("day_of_life"), F.col("peak_day_of_life")))
+    )
+
+
+def burnout_joined(metrics: DataFrame, peaks_df: DataFrame, events: DataFrame) -> DataFrame:
+    """The reference's join form of the mart input: eligible days inner
+    peaks, left burnout events (a creative that never burnt keeps NULLs).
+    The mart itself computes the same values as window aggregates."""
+    return (
+        metrics.where(_eligible())
+        .join(peaks_df, "creative_id", "inner")
+        .join(events, "creative_id", "left")
+    )
+
+
+def burnout_events(metrics: DataFrame, peaks_df: DataFrame | None = None) -> DataFrame:
+    """int_burnout_events: first crossing below 70 % of peak after the peak day."""
+    p = peaks(metrics) if peaks_df is None else peaks_df
+    return (
+        crossing_rows(metrics, p)
         .groupBy("creative_id")
         .agg(
             F.min("stat_date").alias("burnout_date"),
