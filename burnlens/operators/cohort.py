@@ -57,6 +57,15 @@ def daily_revenue(iap: DataFrame) -> DataFrame:
     )
 
 
+def revenue_events(iap: DataFrame) -> DataFrame:
+    """Revenue events in the shape of the cohort-day revenue model (one row
+    per event). Marts that only need revenue sums per coarser keys aggregate
+    these directly: one partial aggregate and one shuffle, instead of
+    shuffling the cohort-day aggregate first."""
+    return iap.where(F.col("is_revenue_event")).select(
+        *COHORT, *SOURCE, "days_since_install", F.col("revenue_usd").alias("daily_revenue_usd"))
+
+
 def cohort_revenue(daily: DataFrame, installs: DataFrame) -> DataFrame:
     """int_cohort_revenue: running revenue per cohort, LTV and ROAS."""
     w = running(COHORT, ["days_since_install", *SOURCE])
@@ -188,17 +197,20 @@ def campaign_cohorts(installs: DataFrame, campaigns: DataFrame) -> DataFrame:
 
 
 def ltv_checkpoints(revenue: DataFrame) -> DataFrame:
-    """Revenue through D7/D14/D30 and in total per campaign, and the installs
-    of the campaign's first cohort (the "first_cohort" denominator)."""
-    has_cohort = F.col("cohort_installs").isNotNull()
-    return revenue.groupBy(*CAMPAIGN_KEYS).agg(
+    """Revenue through D7/D14/D30 and in total per campaign, and (when the
+    input carries cohort installs) the installs of the campaign's first
+    cohort, the "first_cohort" denominator."""
+    aggs = [
         revenue_through(7).alias("rev_7"),
         revenue_through(14).alias("rev_14"),
         revenue_through(30).alias("rev_30"),
         dsum("daily_revenue_usd").alias("total_revenue_usd"),
-        F.min_by("cohort_installs", F.when(has_cohort, F.struct("install_date", "creative_id")))
-        .alias("first_cohort_installs"),
-    )
+    ]
+    if "cohort_installs" in revenue.columns:
+        has_cohort = F.col("cohort_installs").isNotNull()
+        first = F.when(has_cohort, F.struct("install_date", "creative_id"))
+        aggs.append(F.min_by("cohort_installs", first).alias("first_cohort_installs"))
+    return revenue.groupBy(*CAMPAIGN_KEYS).agg(*aggs)
 
 
 def unit_economics(installs: DataFrame, revenue: DataFrame, campaigns: DataFrame,

@@ -10,7 +10,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from burnlens.operators import campaign, cohort, creative, skan, staging
-from burnlens.sources import adapter
+from burnlens.sources import adapter, files
+
+RAW_TABLES = ("campaigns", "creatives", "ad_daily_stats", "skan_postbacks", "iap_events")
 
 # The evaluation date of the test tables (the ad window ends 2024-12-31).
 DEFAULT_AS_OF = dt.date(2024, 12, 31)
@@ -27,6 +29,12 @@ class Models:
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Models":
         return cls(adapter.raw_tables(spark, sf_dir), **kw)
 
+    @classmethod
+    def from_raw_files(cls, spark: SparkSession, root: str, **kw) -> "Models":
+        """Raw tables as loaded by ``load_raw`` (typed parquet under ``root``)."""
+        return cls({t: files.read_raw_table(spark, f"{root}/{t}", t) for t in RAW_TABLES}, **kw)
+
+
     # ------------------------------------------------------------- staging
     @cached_property
     def stg_campaigns(self) -> DataFrame:
@@ -69,6 +77,10 @@ class Models:
     def int_daily_revenue(self) -> DataFrame:
         return cohort.daily_revenue(self.stg_iap_events)
 
+    @cached_property
+    def revenue_events(self) -> DataFrame:
+        return cohort.revenue_events(self.stg_iap_events)
+
     @cached_property
     def int_cohort_revenue(self) -> DataFrame:
         return cohort.cohort_revenue(self.int_daily_revenue, self.int_cohort_installs)
@@ -88,12 +100,20 @@ class Models:
 
     @cached_property
     def mart_cohort_analysis(self) -> DataFrame:
-        return cohort.cohort_analysis(self.int_cohort_installs, self.int_cohort_revenue)
+        # Only revenue sums are read from the cohort revenue model, so they
+        # are aggregated from the revenue events directly: no join back to
+        # installs (which could only fan rows out, never add revenue) and no
+        # intermediate cohort-day shuffle.
+        return cohort.cohort_analysis(self.int_cohort_installs, self.revenue_events)
 
     @cached_property
     def mart_unit_economics(self) -> DataFrame:
+        # The "first_cohort" denominator needs cohort installs on each revenue
+        # row; the default only needs revenue sums (see mart_cohort_analysis).
+        revenue = (self.int_cohort_revenue if self.denominator == "first_cohort"
+                   else self.revenue_events)
         return cohort.unit_economics(
-            self.int_cohort_installs, self.int_cohort_revenue, self.stg_campaigns,
+            self.int_cohort_installs, revenue, self.stg_campaigns,
             denominator=self.denominator,
         )
 
@@ -112,3 +132,10 @@ class Models:
     STAGING = (
         "stg_campaigns", "stg_creatives", "stg_ad_stats", "stg_skan_postbacks", "stg_iap_events",
     )
+
+
+def load_raw(raw: dict[str, DataFrame], root: str) -> None:
+    """Ingest: write each raw table with its layout (month partitions for the
+    facts, sort key within files). Idempotent: every table is replaced."""
+    for t in RAW_TABLES:
+        files.write_raw_table(raw[t], f"{root}/{t}", t)
