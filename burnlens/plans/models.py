@@ -30,9 +30,13 @@ class Models:
         return cls(adapter.raw_tables(spark, sf_dir), **kw)
 
     @classmethod
-    def from_raw_files(cls, spark: SparkSession, root: str, **kw) -> "Models":
-        """Raw tables as loaded by ``load_raw`` (typed parquet under ``root``)."""
-        return cls({t: files.read_raw_table(spark, f"{root}/{t}", t) for t in RAW_TABLES}, **kw)
+    def from_raw_files(cls, spark: SparkSession, root: str, since: dt.date | None = None,
+                       **kw) -> "Models":
+        """Raw tables as loaded by ``load_raw`` (typed parquet under ``root``).
+        ``since`` restricts the facts to rows dated on or after it (partition
+        pruning); only models keyed by that date are then complete."""
+        return cls({t: files.read_raw_table(spark, f"{root}/{t}", t, since) for t in RAW_TABLES},
+                   **kw)
 
 
     # ------------------------------------------------------------- staging

@@ -64,5 +64,18 @@ def refresh_daily(spark: SparkSession, models: Models, out_root: str) -> DataFra
     return _run(spark, models, DAILY, out_root)
 
 
+def backfill_weekly(spark: SparkSession, raw_root: str, target_path: str,
+                    as_of, days: int | None = None) -> None:
+    """Weekly cohort backfill from the loaded raw tables: recompute only the
+    cohorts installed in the last ``days`` days, reading only those months,
+    and replace their install_date partitions in the target."""
+    from burnlens.functions import constants as K
+    from burnlens.streaming.incremental import backfill_cohorts, backfill_since
+    days = K.BACKFILL_DAYS if days is None else days
+    since = backfill_since(as_of, days)
+    recent = Models.from_raw_files(spark, raw_root, since=since, as_of=as_of)
+    backfill_cohorts(recent.mart_cohort_analysis, target_path, as_of, days)
+
+
 def refresh_weekly(spark: SparkSession, models: Models, out_root: str) -> DataFrame:
     return _run(spark, models, WEEKLY, out_root)

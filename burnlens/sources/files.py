@@ -90,8 +90,17 @@ def write_raw_table(df: DataFrame, path: str, table: str) -> None:
          .write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path))
 
 
-def read_raw_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    df = spark.read.schema(RAW_SCHEMAS[table]).parquet(path)
+def read_raw_table(spark: SparkSession, path: str, table: str, since=None) -> DataFrame:
+    """A raw table as written by ``write_raw_table``. With ``since`` (a date),
+    fact tables keep only rows dated on or after it: the month predicate
+    prunes ``ym`` partitions, the date predicate skips row groups."""
+    date_col = MONTH_PARTITION[table]
+    if date_col is None:
+        return spark.read.schema(RAW_SCHEMAS[table]).parquet(path)
+    df = read_month_partitioned(spark, path, RAW_SCHEMAS[table])
+    if since is not None:
+        df = df.where((F.col(MONTH_COLUMN) >= since.strftime("%Y%m"))
+                      & (F.col(date_col) >= F.lit(since)))
     return df.select(*RAW_SCHEMAS[table].fieldNames())
 
 
