@@ -36,11 +36,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when the session names none (local tests) is a private temporary
     folder created and registered as the checkpoint dir.
     """
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:  # classic sessions also expose the directory set at runtime
+        d = spark.sparkContext.getCheckpointDir() or d
+    except Exception:  # e.g. Spark Connect: no SparkContext on the client
+        pass
     if not d:
         d = tempfile.mkdtemp(prefix="burnlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:
+            pass
+        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
