@@ -848,6 +848,14 @@ WHERE NOT EXISTS (SELECT 1 FROM inc_batch b
                   WHERE b.creative_id = t.creative_id AND b.stat_date = t.stat_date)
 UNION ALL
 SELECT * FROM inc_batch""")
+query("inc_delete_insert_compat", f"""
+SELECT * FROM mart_creative_burnout_p t
+WHERE NOT EXISTS (SELECT 1 FROM inc_batch b
+                  WHERE b.creative_id = t.creative_id AND b.stat_date = t.stat_date)
+UNION ALL
+SELECT * REPLACE (
+  {R(RAT('cpi_usd', 'MIN(cpi_usd) OVER (PARTITION BY creative_id)'), 4)} AS cpi_vs_best_ratio)
+FROM inc_batch""")
 sel("inc_full_refresh", "mart_creative_burnout")
 query("backfill_window", f"""
 SELECT * FROM mart_cohort_analysis_s WHERE install_date < {AS_OF} - {K.BACKFILL_DAYS}

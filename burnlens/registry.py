@@ -494,6 +494,18 @@ def _inc_delete_insert(spark, sf):
     return spark.read.parquet(out)
 
 
+@register("inc_delete_insert_compat")
+def _inc_delete_insert_compat(spark, sf):
+    """As inc_delete_insert, with the reference's exact window semantics: the
+    best CPI of a re-processed row is the minimum over the re-processed dates
+    only."""
+    target = _first_run_target(spark, sf)
+    out = scratch_path(spark, "burnout_v2c")
+    inc.incremental_burnout(spark, M(spark, sf).int_creative_daily_metrics, target, out,
+                            compat_window=True)
+    return spark.read.parquet(out)
+
+
 @register("inc_full_refresh")
 def _inc_full_refresh(spark, sf):
     out = scratch_path(spark, "burnout_full")
