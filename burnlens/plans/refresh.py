@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from burnlens.operators import quality
 from burnlens.plans.models import Models
 from burnlens.sources.files import write_replace
+from burnlens.streaming.incremental import incremental_burnout
 
 DAILY = (
     "int_creative_daily_metrics", "int_creative_peaks", "int_burnout_events",
@@ -31,18 +32,29 @@ WEEKLY = (
 )
 
 
-def materialise(spark: SparkSession, models: Models, names, out_root: str) -> dict[str, str]:
+def materialise(spark: SparkSession, models: Models, names, out_root: str,
+                previous_root: str | None = None) -> dict[str, str]:
+    """Write each model in order and make downstream models read the written
+    table. With ``previous_root`` (the output folder of the previous run) the
+    burnout mart is maintained incrementally, as the reference's daily run
+    does: re-process the last 15 dates of the previous version, delete+insert,
+    write the result as this run's version."""
     paths = {}
     for name in names:
         path = f"{out_root}/{name}"
-        write_replace(getattr(models, name), path)
+        if name == "mart_creative_burnout" and previous_root is not None:
+            incremental_burnout(spark, models.int_creative_daily_metrics,
+                                f"{previous_root}/{name}", path)
+        else:
+            write_replace(getattr(models, name), path)
         models.__dict__[name] = spark.read.parquet(path)  # downstream reads the table
         paths[name] = path
     return paths
 
 
-def _run(spark: SparkSession, models: Models, names, out_root: str) -> DataFrame:
-    paths = materialise(spark, models, names, out_root)
+def _run(spark: SparkSession, models: Models, names, out_root: str,
+         previous_root: str | None = None) -> DataFrame:
+    paths = materialise(spark, models, names, out_root, previous_root)
     tests = quality.dq_summary(models.raw, models.mart_creative_burnout, models.stg_ad_stats)
     write_replace(tests, f"{out_root}/dq_summary")
     failed = spark.read.parquet(f"{out_root}/dq_summary").agg(
@@ -59,9 +71,11 @@ def _run(spark: SparkSession, models: Models, names, out_root: str) -> DataFrame
     return out.unionByName(failed)
 
 
-def refresh_daily(spark: SparkSession, models: Models, out_root: str) -> DataFrame:
-    """Run summary: (model, row_count) per written model, plus failed tests."""
-    return _run(spark, models, DAILY, out_root)
+def refresh_daily(spark: SparkSession, models: Models, out_root: str,
+                  previous_root: str | None = None) -> DataFrame:
+    """Run summary: (model, row_count) per written model, plus failed tests.
+    ``previous_root``: the previous run's output, for the incremental mart."""
+    return _run(spark, models, DAILY, out_root, previous_root)
 
 
 def backfill_weekly(spark: SparkSession, raw_root: str, target_path: str,
