@@ -104,6 +104,21 @@ def read_raw_table(spark: SparkSession, path: str, table: str, since=None) -> Da
     return df.select(*RAW_SCHEMAS[table].fieldNames())
 
 
+def write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, key: str,
+                   sort_by=(), buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key`` (files at ``path``) and
+    return it. Readers that group, window or join on ``key`` then use the
+    bucket layout instead of a shuffle. The repartition on the same key and
+    count gives one file per bucket; when ``df`` is already hash-partitioned
+    by ``key`` (e.g. the output of a window on it) Spark merges the two into
+    a single exchange."""
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, key).write.mode("overwrite").format("parquet")
+     .bucketBy(n, key).sortBy(*(sort_by or (key,)))
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
 def load_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count of each table, one row per table."""
     parts = [
