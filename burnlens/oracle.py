@@ -8,6 +8,8 @@ SELECT per key. Exactness conventions match ``burnlens.functions.columns``:
 
 from __future__ import annotations
 
+import re as _re
+
 from burnlens.functions import constants as K
 from burnlens.plans.models import DEFAULT_AS_OF
 
@@ -496,9 +498,6 @@ LEFT JOIN stg_campaigns camp ON camp.campaign_id = r.campaign_id""")
 
 
 # ----------------------------------------------------- variant chains
-import re as _re  # noqa: E402
-
-
 def variant(names, suffix: str, subst: dict[str, str]) -> None:
     """Re-emit CTEs ``names`` as ``name + suffix`` reading substituted inputs."""
     bodies = dict(CTES)

@@ -60,9 +60,11 @@ def creative_id(cnum: Column) -> Column:
     return F.concat(F.lit("cre_"), cnum.cast("string"))
 
 
-def source_columns(sk: Column) -> list[Column]:
+def source_columns(sk: Column, cnum: Column) -> list[Column]:
+    """campaign_id, creative_id, network, country (the raw schemas' order)."""
     return [
         campaign_id(sk).alias("campaign_id"),
+        creative_id(cnum).alias("creative_id"),
         pick(NETWORKS, sk % 5).alias("network"),
         pick(COUNTRIES, sk % 6).alias("country"),
     ]
@@ -124,10 +126,7 @@ def ad_daily_stats(ln: DataFrame) -> DataFrame:
         )
         .select(
             F.col("d").alias("stat_date"),
-            campaign_id(F.col("l_suppkey")).alias("campaign_id"),
-            creative_id(F.col("cnum")).alias("creative_id"),
-            pick(NETWORKS, F.col("l_suppkey") % 5).alias("network"),
-            pick(COUNTRIES, F.col("l_suppkey") % 6).alias("country"),
+            *source_columns(F.col("l_suppkey"), F.col("cnum")),
             (F.col("qty") * 100).cast("bigint").alias("impressions"),
             F.col("clk").cast("bigint").alias("clicks"),
             (F.col("price") * F.lit(Decimal("0.01"))).cast("decimal(18,4)").alias("spend_usd"),
@@ -136,9 +135,10 @@ def ad_daily_stats(ln: DataFrame) -> DataFrame:
     )
 
 
-def _line_keys(ln_prefix: str) -> Column:
+def line_id(prefix: str) -> Column:
+    """prefix + orderkey + '_' + linenumber (not unique in the driver data)."""
     return F.concat(
-        F.lit(ln_prefix), F.col("l_orderkey").cast("string"), F.lit("_"),
+        F.lit(prefix), F.col("l_orderkey").cast("string"), F.lit("_"),
         F.col("l_linenumber").cast("string"),
     )
 
@@ -150,12 +150,9 @@ def skan_postbacks(ln: DataFrame) -> DataFrame:
         cond = F.col("l_returnflag") == flag
         privacy = F.when(cond, level) if privacy is None else privacy.when(cond, level)
     return ln.select(
-        _line_keys("pb_").alias("postback_id"),
+        line_id("pb_").alias("postback_id"),
         F.date_add("d", (F.col("l_orderkey") % 2).cast("int")).alias("install_date"),
-        campaign_id(sk).alias("campaign_id"),
-        creative_id(F.col("cnum")).alias("creative_id"),
-        pick(NETWORKS, sk % 5).alias("network"),
-        pick(COUNTRIES, sk % 6).alias("country"),
+        *source_columns(sk, F.col("cnum")),
         F.when(F.col("l_linestatus") == "O", "4.0").otherwise("3.0").alias("skan_version"),
         ((F.col("l_orderkey") + F.col("l_partkey")) % 64).cast("int").alias("conversion_value"),
         (1 + F.col("l_linenumber") % 3).cast("int").alias("postback_sequence"),
@@ -173,13 +170,10 @@ def iap_events(ln: DataFrame) -> DataFrame:
         price * (1 + (sk % 8) * 5)
     )
     return ln.select(
-        _line_keys("ev_").alias("event_id"),
+        line_id("ev_").alias("event_id"),
         F.col("d").alias("install_date"),
         F.date_add("d", F.col("l_quantity").cast("int") % 40).alias("event_date"),
-        campaign_id(sk).alias("campaign_id"),
-        creative_id(F.col("cnum")).alias("creative_id"),
-        pick(NETWORKS, sk % 5).alias("network"),
-        pick(COUNTRIES, sk % 6).alias("country"),
+        *source_columns(sk, F.col("cnum")),
         event_type.alias("event_type"),
         pick(PRODUCTS, F.col("l_partkey") % 5).alias("product_id"),
         revenue.cast("decimal(18,4)").alias("revenue_usd"),

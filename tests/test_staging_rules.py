@@ -120,3 +120,10 @@ def test_rounding_ties(spark):
     df = spark.createDataFrame([(1, 8), (3, 8)], "a long, b long")
     from burnlens.functions.columns import ratio
     assert [r[0] for r in df.select(rnd(ratio("a", "b"), 2)).collect()] == [0.12, 0.38]
+
+
+def test_adapter_matches_declared_schemas(models):
+    for t, df in models.raw.items():
+        declared = S.RAW_SCHEMAS[t]
+        assert df.columns == declared.fieldNames(), t
+        assert [f.dataType for f in df.schema.fields] == [f.dataType for f in declared.fields], t
