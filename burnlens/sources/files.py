@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from burnlens.functions.columns import month_key, nan_to_null
-from burnlens.sources.schemas import MONTH_PARTITION, RAW_SCHEMAS, SORT_KEYS
+from burnlens.sources.schemas import MONTH_PARTITION, RAW_SCHEMAS, SORT_KEYS, TIEBREAK
 
 MONTH_COLUMN = "ym"
 
@@ -80,14 +80,23 @@ def write_sorted(df: DataFrame, path: str, keys) -> None:
 
 
 def write_raw_table(df: DataFrame, path: str, table: str) -> None:
-    """Raw table layout: month partitions for facts, sort key within files."""
+    """Raw table layout: month partitions for facts, sorted by the table's key.
+
+    Facts are range-partitioned on (month, sort key, tiebreak) before the
+    write: each task covers one contiguous key range, so it writes files for
+    one or two months only (file count ~ tasks, not tasks x months), files do
+    not overlap on the key (min/max statistics prune well), and the unique
+    tiebreak column spreads a hot key over several tasks."""
     date_col = MONTH_PARTITION[table]
-    out = df.sortWithinPartitions(*SORT_KEYS[table])
+    keys = SORT_KEYS[table]
     if date_col is None:
-        out.write.mode("overwrite").parquet(path)
-    else:
-        (out.withColumn(MONTH_COLUMN, month_key(date_col))
-         .write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path))
+        df.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+        return
+    order = (MONTH_COLUMN, *keys, *TIEBREAK[table])
+    (df.withColumn(MONTH_COLUMN, month_key(date_col))
+     .repartitionByRange(*order)
+     .sortWithinPartitions(*order)
+     .write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path))
 
 
 def read_raw_table(spark: SparkSession, path: str, table: str, since=None) -> DataFrame:
