@@ -20,6 +20,34 @@ LOCAL_CONF = {
 }
 
 
+def cluster_conf(total_cores: int) -> dict[str, str]:
+    """Settings this design assumes on a large cluster (~100 TB, ~1000
+    executors). They are suggestions for the job submitter; nothing in the
+    library sets them on a session it did not create.
+
+    * shuffle partitions start at ~3x the cores and AQE coalesces them to
+      ~256 MB each, so a stage never runs with partitions far above memory;
+    * AQE skew handling splits a partition over 5x the median and 512 MB;
+    * broadcast stays behind the measured-size threshold (64 MB): dimensions
+      broadcast, anything that grows with the facts sort-merges;
+    * file splits of 256 MB keep scan tasks in the thousands, not millions.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.sources.partitionOverwriteMode": "static",  # dynamic is set per write
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def local_session(cores: int | str = "*", app: str = "burnlens", **conf) -> SparkSession:
     """A local session for tests and the benchmark (cluster jobs bring their own)."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
