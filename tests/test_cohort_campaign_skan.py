@@ -163,3 +163,27 @@ def test_skan_reconciliation(spark):
     assert r0.campaign_name == "name c1" and r0.avg_cv == 12.5
     only_pb = [r for r in out.collect() if r.creative_id == "k9"][0]
     assert only_pb.skan_coverage_rate is None and only_pb.spend_usd == 0.0
+
+
+def test_join_edge_cases(spark):
+    """A creative without stats yields no rows; stats without a creative (or
+    before launch) are dropped by the inner joins and the launch filter."""
+    from burnlens.operators import creative
+    camp, cre = dims(spark, ("c1",), [("k1", "c1"), ("idle", "c1")])
+    a = ads(spark, [(0, "c1", "k1", 1, 1.0), (1, "c1", "ghost", 1, 1.0), (2, "c1", "k1", 1, 1.0)])
+    m = creative.daily_metrics(a, cre, camp)
+    assert sorted(((r.stat_date - D0).days, r.creative_id) for r in m.collect()) == [
+        (0, "k1"), (2, "k1")]
+    late = spark.createDataFrame([("k1", "c1", "n", "carousel", "1x1", day(1))], S.CREATIVES)
+    m2 = creative.daily_metrics(a, stg.stg_creatives(late), camp)
+    assert [((r.stat_date - D0).days, r.day_of_life) for r in m2.collect()] == [(2, 1)]
+
+
+def test_csv_export_turns_nan_into_null(spark):
+    from burnlens.session import scratch_path
+    from burnlens.sources import files
+    df = spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, 1.5)], "k int, x double")
+    path = scratch_path(spark, "t_csv")
+    files.export_csv(df, path)
+    back = sorted(tuple(r) for r in files.read_csv(spark, path, df.schema).collect())
+    assert back == [(1, None), (2, None), (3, 1.5)]
