@@ -29,6 +29,14 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
 
+def _sf_number(path: str):
+    tag = os.path.basename(path.rstrip("/")).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -77,7 +85,7 @@ def main() -> None:
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
         "cold": {k: round(v, 3) for k, v in cold.items()},
-        "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
+        "sf": _sf_number(SF_DIR),
         "cpus": int(CPUS),
     }))
 
