@@ -29,6 +29,17 @@ def cohort_dims_join(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame)
     )
 
 
+def install_rows(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Ad days with installs in the shape of the cohort-installs model (one
+    row per ad row). Marts that only need installs and spend summed per
+    coarser keys aggregate these directly, skipping the cohort-grain shuffle;
+    decimal sums make the totals identical."""
+    return cohort_dims_join(ads, creatives, campaigns).select(
+        F.col("stat_date").alias("install_date"), "campaign_id", "creative_id", "network",
+        "country", F.col("installs").alias("cohort_installs"),
+        F.col("spend_usd").alias("cohort_spend_usd"))
+
+
 def cohort_installs(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
     """int_cohort_installs; days with zero installs are dropped (their spend too)."""
     return (

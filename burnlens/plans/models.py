@@ -114,11 +114,14 @@ class Models:
     def mart_unit_economics(self) -> DataFrame:
         # The "first_cohort" denominator needs cohort installs on each revenue
         # row; the default only needs revenue sums (see mart_cohort_analysis).
+        # Campaign totals of installs and spend are summed from the ad rows
+        # directly (same decimal totals as summing the cohorts, one shuffle
+        # fewer).
         revenue = (self.int_cohort_revenue if self.denominator == "first_cohort"
                    else self.revenue_events)
+        installs = cohort.install_rows(self.stg_ad_stats, self.stg_creatives, self.stg_campaigns)
         return cohort.unit_economics(
-            self.int_cohort_installs, revenue, self.stg_campaigns,
-            denominator=self.denominator,
+            installs, revenue, self.stg_campaigns, denominator=self.denominator,
         )
 
     @cached_property
