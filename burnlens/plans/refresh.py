@@ -107,5 +107,20 @@ def backfill_weekly(spark: SparkSession, raw_root: str, target_path: str,
     backfill_cohorts(recent.mart_cohort_analysis, target_path, as_of, days)
 
 
+def export_marts(spark: SparkSession, models: Models, out_root: str,
+                 fmt: str = "csv") -> dict[str, str]:
+    """The BI read path: every mart with the BI column-type contract, NaN/Inf
+    turned into NULL, written as CSV with header (or JSON lines) under
+    ``out_root``. Returns mart name -> path."""
+    from burnlens.sources.files import bi_types, export_csv, export_json
+    writer = {"csv": export_csv, "json": export_json}[fmt]
+    paths = {}
+    for name in Models.MARTS:
+        path = f"{out_root}/{name}"
+        writer(bi_types(getattr(models, name)), path)
+        paths[name] = path
+    return paths
+
+
 def refresh_weekly(spark: SparkSession, models: Models, out_root: str) -> DataFrame:
     return _run(spark, models, WEEKLY, out_root)

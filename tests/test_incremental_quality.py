@@ -186,3 +186,16 @@ def test_daily_job_runs_incrementally_on_previous_output(spark, models):
     assert got.where(recent).exceptAll(full.where(recent).select(*got.columns)).count() == 0
     assert got.where(~recent).exceptAll(prev.where(~recent)).count() == 0
     assert got.count() == prev.where(~recent).count() + full.where(recent).count()
+
+
+def test_export_marts_round_trip(spark, models):
+    from burnlens.plans import refresh
+    from burnlens.sources import files
+    out = scratch_path(spark, "t_export")
+    paths = refresh.export_marts(spark, models, out, "csv")
+    assert sorted(paths) == sorted(models.MARTS)
+    for name, path in paths.items():
+        mart = files.bi_types(getattr(models, name))
+        back = files.read_csv(spark, path, mart.schema)
+        assert back.count() == mart.count()
+        assert back.exceptAll(mart).count() == 0, name
