@@ -2,10 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from burnlens.operators import creative
-from conftest import rows
 
 D0 = dt.date(2024, 10, 1)
 METRIC_SCHEMA = (
