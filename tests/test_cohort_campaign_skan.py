@@ -187,3 +187,35 @@ def test_csv_export_turns_nan_into_null(spark):
     files.export_csv(df, path)
     back = sorted(tuple(r) for r in files.read_csv(spark, path, df.schema).collect())
     assert back == [(1, None), (2, None), (3, 1.5)]
+
+
+def test_hot_cohort_aggregates_exactly(spark):
+    """One cohort holds ~70 % of all postbacks: the partial-then-final
+    aggregate gives the brute-force answer (pandas) exactly."""
+    n = 20000
+    raw = spark.range(n).select(
+        F.concat(F.lit("p"), F.col("id").cast("string")).alias("postback_id"),
+        F.when(F.col("id") % 10 < 7, F.lit(D0)).otherwise(F.date_add(F.lit(D0), (F.col("id") % 5).cast("int"))).alias("install_date"),
+        F.lit("c1").alias("campaign_id"),
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.lit("cold")).alias("creative_id"),
+        F.lit("Meta").alias("network"), F.lit("US").alias("country"), F.lit("4.0").alias("skan_version"),
+        (F.col("id") % 64).cast("int").alias("conversion_value"),
+        F.lit(1).alias("postback_sequence"),
+        F.element_at(F.array(F.lit("none"), F.lit("low"), F.lit("medium")),
+                     (F.col("id") % 3 + 1).cast("int")).alias("privacy_threshold"),
+    )
+    staged = stg.stg_skan_postbacks(raw.repartition(7))
+    got = skan.cv_mapping(staged).toPandas().set_index(["install_date", "creative_id"]).sort_index()
+    pdf = staged.toPandas()
+    want = pdf.groupby(["install_date", "creative_id"]).agg(
+        postback_count=("postback_id", "size"),
+        fine_cv_count=("privacy_threshold", lambda s: (s == "none").sum()),
+        revenue_signal_count=("has_revenue_signal", "sum"),
+        cv_sum=("conversion_value", "sum"),
+    ).sort_index()
+    assert got["postback_count"].max() >= 0.7 * n
+    assert (got["postback_count"].values == want["postback_count"].values).all()
+    assert (got["fine_cv_count"].values == want["fine_cv_count"].values).all()
+    assert (got["revenue_signal_count"].values == want["revenue_signal_count"].values).all()
+    exp_avg = (want["cv_sum"] / want["postback_count"]).round(2).values
+    assert abs(got["avg_conversion_value"].values - exp_avg).max() < 1e-9
