@@ -30,7 +30,7 @@ from burnlens.llm.common import id_text, materialise
 LENGTH = 2048
 SEPARATOR = 0
 GROUP = 16384        # pieces packed together
-CACHE = 300_000      # encoded white-space-delimited strings kept by a worker
+CACHE = 700_000      # encoded white-space-delimited strings kept by a worker (about 150 MB)
 TOKENIZER = "word_bpe_49k.json"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -44,29 +44,68 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: The tokenizer's own split of lower-cased text, and the texts to which it is
+#: applied here: Latin letters, digits and signs, where Unicode normal forms and
+#: versions don't matter.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = "[\t\n\r\x20-\x7e\u00a1-\u012f\u0131-\u017f]*"
+
+
 class Encoder:
     """Token ids of a text as little-endian uint32 bytes.
 
     The tokenizer's pre-tokenizer never joins characters across white space,
     so a text's ids are those of its space- and newline-delimited strings in
-    order; each distinct string is encoded once while it is in the cache."""
+    order. A string not in the cache is split into its pre-tokens, and only
+    pre-tokens not seen yet go through the tokenizer, many at a time: each ends
+    with a token that carries the end-of-word mark. Texts that hold other than
+    plain Latin characters, or what may be a special token, are encoded whole."""
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.split = regex.compile(PRE_TOKENS).findall
+        self.plain = regex.compile(PLAIN).fullmatch
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(size, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
         self.cache: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+
+    def _encode_parts(self, parts: list[str]) -> None:
+        for lo in range(0, len(parts), 20_000):
+            some = parts[lo:lo + 20_000]
+            lines = [" ".join(some[k:k + 200]) for k in range(0, len(some), 200)]
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) != len(some) or cuts[-1] != len(ids):
+                raise ValueError("the tokenizer doesn't mark the ends of its pre-tokens")
+            raw = ids.tobytes()
+            self.parts.update(zip(some, (raw[4 * a:4 * b] for a, b in zip([0, *cuts], cuts))))
+
+    def _add(self, new: set[str]) -> None:
+        split = {s: (s,) if s.isalpha() else self.split(s) for s in new}
+        missing = set().union(*split.values()).difference(self.parts)
+        if missing:
+            self._encode_parts(list(missing))
+        get = self.parts.__getitem__
+        for s, p in split.items():
+            self.cache[s] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [t.lower().replace("\n", " ").split(" ") if self.plain(t) and "<|" not in t else None for t in texts]
         if len(self.cache) > CACHE:
             self.cache = {"": b""}
-        new = list(set().union(*split).difference(self.cache))
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.cache[s] = np.array(e.ids, "<u4").tobytes()
+        if len(self.parts) > CACHE:
+            self.parts = {}
+        new = set().union(*(s for s in split if s is not None)).difference(self.cache)
+        if new:
+            self._add(new)
         get = self.cache.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if s is None else b"".join(map(get, s))
+                for t, s in zip(texts, split)]
 
 
 def _pieces(batches: Iterable[pa.RecordBatch], path: str, length: int) -> Iterator[pa.RecordBatch]:
