@@ -19,13 +19,14 @@ not kept; repeated rows give a row each; an empty table gives an empty result
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD_GAP = r"[\x20\x09-\x0D]+"
-SYMBOLS = r"[#*$%&|<>]"
+SYMBOLS = r"[^#*$%&|<>]+"  # all else
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SAMPLE_ROWS = 1000
@@ -57,54 +58,62 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, text, words and the base metrics of every row.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once: plain references in a
+    lambda would be evaluated per element wherever Catalyst inlines them."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeat_words(words: Column) -> Column:
+    """Words covered by 3-word windows that occur twice or more.
+
+    Windows are first matched by hash: each window becomes a long of hash bits
+    over its position, so sorting longs brings equal hashes together. Windows
+    with a hash in common are then compared as texts, so a hash collision
+    changes nothing. Texts without two equal hashes (most) skip all that."""
+    shift, low = POSITION_BITS, F.lit(2**POSITION_BITS - 1)
+    key = lambda v: F.shiftright(v, shift)
+    window = lambda w, i: (F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+
+    def hashes(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(*window(w, i)))
+
+    def same_hash(h: Column) -> Column:  # positions of windows whose hash another window has
+        packed = F.sort_array(F.transform(h, lambda x, i: F.shiftleft(x, shift).bitwiseOR(i.cast("long"))))
+        return _let(packed, lambda p: F.transform(
+            F.filter(p, lambda v, i: (key(v) == key(F.get(p, i - 1))) | (key(v) == key(F.get(p, i + 1)))),
+            lambda v: v.bitwiseAND(low).cast("int")))
 
-    Repeated 3-word windows are first matched by hash: each window becomes a
-    long of hash bits over its position, so sorting longs brings equal hashes
-    together. Windows with a hash in common are then compared as texts, so a
-    hash collision changes nothing. Texts without two equal hashes (most of
-    them) skip all that."""
+    def same_text(w: Column, at: Column) -> Column:  # those whose text another window has
+        texts = F.sort_array(F.transform(at, lambda i: F.struct(F.concat_ws(" ", *window(w, i)).alias("w"), i.alias("i"))))
+        return _let(texts, lambda t: F.transform(
+            F.filter(t, lambda v, k: (v["w"] == F.get(t, k - 1)["w"]) | (v["w"] == F.get(t, k + 1)["w"])),
+            lambda v: v["i"]))
+
+    def covered(at: Column) -> Column:
+        return F.size(F.array_distinct(F.concat(at, F.transform(at, lambda i: i + 1), F.transform(at, lambda i: i + 2))))
+
+    def count(w: Column) -> Column:
+        return F.when(F.size(w) < 3, F.lit(0)).otherwise(_let(hashes(w), lambda h: F.when(
+            F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_let(same_text(w, same_hash(h)), covered))))
+
+    return _let(words, count).cast("long")
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, text, words and the base metrics of every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     two = one.withColumn("words", F.array_remove(F.split("text", WORD_GAP), ""))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    three = two.select(
-        "doc_id", "text", "words", lines.alias("lines"),
-        F.when(F.size("words") >= 3, F.expr(
-            "transform(slice(words, 1, size(words) - 2), (x, i) -> xxhash64(x, get(words, i + 1), get(words, i + 2)))"))
-        .otherwise(F.expr("cast(array() AS array<bigint>)")).alias("window_hashes"))
-    repeated = F.size(F.array_distinct("window_hashes")) < F.size("window_hashes")
-    # Only texts with two equal window hashes get a list here.
-    four = three.select(
-        "doc_id", "text", "words", "lines",
-        F.when(repeated, F.expr(
-            f"sort_array(transform(window_hashes, (h, i) -> shiftleft(h, {POSITION_BITS}) | i))")).alias("packed"))
-    # Positions of windows whose hash another window shares.
-    five = four.select(
-        "doc_id", "text", "words", "lines",
-        F.expr(f"""transform(filter(packed, (v, i) ->
-            shiftright(v, {POSITION_BITS}) = shiftright(get(packed, i - 1), {POSITION_BITS})
-            OR shiftright(v, {POSITION_BITS}) = shiftright(get(packed, i + 1), {POSITION_BITS})),
-            v -> cast(v & {2**POSITION_BITS - 1} AS int))""").alias("at"))
-    # The same windows as texts, sorted, so that equal ones are neighbours.
-    six = five.select(
-        "doc_id", "text", "words", "lines",
-        F.expr("""sort_array(transform(at, p -> named_struct(
-            'w', concat_ws(' ', get(words, p), get(words, p + 1), get(words, p + 2)), 'p', p)))""").alias("windows"))
-    seven = six.select(
-        "doc_id", "text", "words", "lines",
-        F.expr("""transform(filter(windows, (v, i) -> v.w = get(windows, i - 1).w OR v.w = get(windows, i + 1).w),
-            v -> v.p)""").alias("twice"))
-    return seven.select(
+    dup = _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    return two.select(
         "doc_id", "text", "words",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(F.size(F.array_distinct(F.concat(
-            "twice", F.transform("twice", lambda p: p + 1), F.transform("twice", lambda p: p + 2)))), F.lit(0))
-        .cast("long").alias("n_repeat_words"))
+        F.length(F.regexp_replace("text", SYMBOLS, "")).cast("long").alias("n_symbols"),
+        dup.cast("long").alias("n_dup_lines"),
+        _repeat_words(F.col("words")).alias("n_repeat_words"))
 
 
 def base_failed() -> Column:

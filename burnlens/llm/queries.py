@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import archive, classifier, packing
+from burnlens.llm import archive, classifier, licenses, packing, quality_rules
 from burnlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -33,5 +38,10 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.round_trip(table(spark, sf_dir, "pages")).drop("payload", "url")
 
 
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 #: DuckDB twins, where SQL can express the result.
 ORACLE_SQL: dict[str, str] = {}
