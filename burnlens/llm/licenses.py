@@ -14,7 +14,8 @@ those that some template has; a pair's matches are grouped, at most as many as
 one text holds.
 
 Contract cases: NULL and empty texts match nothing; one row per distinct
-(doc_id, text) and licence, the best window (the first one on ties); an empty
+(doc_id, text) and licence, the best window (the first one on ties), and one
+licence for each place; an empty
 table gives an empty result; extra columns are ignored.
 """
 
@@ -118,13 +119,17 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, t
         """(distinct shared bigrams, -start) of the window from each hit."""
         return F.transform(hits, lambda h, i: F.struct(
             F.size(F.array_distinct(F.transform(
-                F.filter(F.slice(hits, i + 1, F.least(F.lit(4) * F.col("size"), F.size(hits))), lambda x: x["at"] < h["at"] + F.col("size")),
+                F.filter(F.slice(hits, i + 1, F.col("size")), lambda x: x["at"] < h["at"] + F.col("size")),
                 lambda x: x["bigram"]))).alias("shared"),
             (-h["at"]).alias("start")))
 
     best = pairs.select("doc_id", "text_key", "license", "size", "need",
                         _let(F.array_sort(F.array_distinct("hits")), lambda hits: F.array_max(windows(hits))).alias("best"))
-    return (best.where(F.col("best.shared") >= F.col("need"))
-            .groupBy("doc_id", "text_key", "license")
-            .agg(F.max(F.struct((F.col("best.shared") / F.col("size")).alias("dice"), F.col("best.start").alias("start"), F.col("size").alias("size"))).alias("b"))
+    dice = (F.col("best.shared") / F.col("size")).alias("dice")
+    # Of the notices found at one place the closest is meant, the longest on ties, then the first by name.
+    placed = (best.where(F.col("best.shared") >= F.col("need"))
+              .groupBy("doc_id", "text_key", F.col("best.start").alias("start"))
+              .agg(F.max(F.struct(dice, F.col("size"))).alias("b"), F.min(F.struct((-dice).alias("d"), (-F.col("size")).alias("s"), "license"))["license"].alias("license")))
+    return (placed.groupBy("doc_id", "text_key", "license")
+            .agg(F.max(F.struct(F.col("b.dice").alias("dice"), "start", F.col("b.size").alias("size"))).alias("b"))
             .select("doc_id", "license", F.col("b.dice").alias("dice"), (-F.col("b.start")).alias("start_word"), (F.col("b.size") + 1).alias("n_words")))
