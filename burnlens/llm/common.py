@@ -73,12 +73,16 @@ _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACE_BYTES)] = True
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each text: byte starts, byte ends, and
-    bounds (n + 1): the words of text i are bounds[i]:bounds[i + 1]."""
+#: Gaps between words of ASCII letters and digits and of any non-ASCII character.
+LETTER_GAPS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (by default ``[^\\x20\\x09-\\x0D]+``) of each text: byte starts, byte
+    ends, and bounds (n + 1): the words of text i are bounds[i]:bounds[i + 1]."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    ink = ~_SPACE[data]
+    ink = ~gaps[data]
     first = offsets[:-1][offsets[:-1] < len(data)]
     start = ink.copy()
     start[1:] &= ~ink[:-1]
