@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import archive, classifier, decontamination, extraction, licenses, line_dedup, ngram_join, packing, quality_rules
+from burnlens.llm import archive, classifier, decontamination, extraction, licenses, line_dedup, ngram_join, packing, quality_rules, substring_dedup
 from burnlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.dedup(table(spark, sf_dir, "documents"))
