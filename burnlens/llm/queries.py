@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from burnlens.llm import archive, classifier, decontamination, extraction, licenses, line_dedup, ngram_join, packing, quality_rules, substring_dedup
 from burnlens.llm.common import table
+from burnlens.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -67,7 +70,3 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
-
-
-#: DuckDB twins, where SQL can express the result.
-ORACLE_SQL: dict[str, str] = {}
