@@ -21,7 +21,9 @@ PERCENT / 100. The join is exact:
    overlap so far plus what remains of either set is too small.
 5. Components of all links.
 
-Only documents in candidate pairs are read again; their sets meet once per pair.
+Before a pair's sets meet, bitmaps of a few bits per n-gram do: each bit in
+which two differ is an n-gram that the sets don't share, which bounds the
+overlap from above. Only documents in candidate pairs are read again.
 
 Contract cases: texts without words (NULL, empty, white space) have an empty
 set and link with nothing; texts of fewer than n words have one n-gram, the
@@ -44,6 +46,7 @@ from burnlens.llm.graph import components
 
 WORDS, PERCENT = 4, 85
 HASHES = 6
+AGREE = 4             # of HASHES, for a star link to be worth a comparison
 LIGHT = 64
 BROADCAST_IDS = 1_000_000      # at most 8 MB of ids go to the executors; beyond, a shuffled join
 BROADCAST_GRAMS = 1_000_000
@@ -149,18 +152,62 @@ def tree_overlaps(one: np.ndarray, others: list[np.ndarray], measure: Measure) -
     return out
 
 
+def bitmap(grams: np.ndarray) -> np.ndarray:
+    """Bits (in bytes) of a set: four to eight per n-gram, a power of two."""
+    size = 1 << max(6, (4 * len(grams) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(grams & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little")
+
+
+def may_link(a: bytes, n: int, b: bytes, m: int, measure: Measure) -> bool:
+    """False only if the bitmaps show that the sets, of n and m, don't link."""
+    x, y = (np.frombuffer(v, np.uint8) for v in (a, b))
+    while len(x) > len(y):
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] | y[len(y) // 2:]
+    return (n + m - int(np.bitwise_count(x ^ y).sum())) // 2 >= measure.overlap(n, m)
+
+
+def _bitmaps(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for rows, data, off in text_chunks(batches):
+        g, at = gram_sets(data, off, words)
+        yield pa.RecordBatch.from_arrays(
+            [rows.column(0), pa.array(np.diff(at)), pa.array([bitmap(g[a:b]).tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())],
+            names=["doc_id", "n", "bits"])
+
+
+def _met(pairs: DataFrame, side: DataFrame) -> DataFrame:
+    """``pairs`` with the columns of ``side`` for a (x_...) and b (y_...)."""
+    for end, mark in (("a", "x_"), ("b", "y_")):
+        pairs = pairs.join(side.select(F.col("doc_id").alias(end), *(F.col(c).alias(mark + c) for c in side.columns if c != "doc_id")), end)
+    return pairs
+
+
+def _read(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    return chosen(texts, materialise(ids, "ids"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, measure: Measure, words: int = WORDS) -> DataFrame:
     """The (a, b) of ``pairs`` whose sets link."""
     pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = materialise(chosen(texts, ids).dropDuplicates(["doc_id"]).mapInArrow(lambda x: _sets(x, words), "doc_id long, grams binary"), "sets")
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("left")), "a")
-    met = left.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("right")), "b")
+    bits = _read(texts, pairs).mapInArrow(lambda x: _bitmaps(x, words), "doc_id long, n long, bits binary").dropDuplicates(["doc_id"])
+
+    def bound(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, x, n, y, m = (batch.column(c) for c in ("a", "b", "x_bits", "x_n", "y_bits", "y_n"))
+            keep = [may_link(x[k].as_py(), n[k].as_py(), y[k].as_py(), m[k].as_py(), measure) for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    likely = materialise(_met(pairs, materialise(bits, "bitmaps")).mapInArrow(bound, "a long, b long"), "likely_pairs")
+    sets = _read(texts, likely).mapInArrow(lambda x: _sets(x, words), "doc_id long, grams binary").dropDuplicates(["doc_id"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:  # a run of rows with the same b is one tree
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            left, right = batch.column("left"), batch.column("right")
+            left, right = batch.column("x_grams"), batch.column("y_grams")
             keep, lo = [], 0
             while lo < len(b):
                 hi = lo + 1
@@ -171,15 +218,17 @@ def verified(pairs: DataFrame, texts: DataFrame, measure: Measure, words: int =
                 lo = hi
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return met.mapInArrow(run, "a long, b long")
+    return _met(likely, sets).mapInArrow(run, "a long, b long")
 
 
 def star_pairs(nodes: DataFrame, measure: Measure) -> DataFrame:
-    """(a, b): each node with the least id that shares a min-hash with it."""
-    each = nodes.select("id", "n", F.posexplode("mins").alias("k", "low"))
-    centre = each.groupBy("k", "low").agg(F.min(F.struct("id", "n")).alias("c"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    """(a, b): each node with the least id that shares a min-hash with it,
+    where AGREE min-hashes agree (what this leaves out comes up in step 3)."""
+    each = nodes.select("id", "n", "mins", F.posexplode("mins").alias("k", "low"))
+    centre = each.groupBy("k", "low").agg(F.min(F.struct("id", "n", "mins")).alias("c"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    agree = F.aggregate(F.zip_with("mins", "c.mins", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return (each.join(centre, ["k", "low"])
-            .where((F.col("id") != F.col("c.id")) & measure.sizes(F.col("n"), F.col("c.n")))
+            .where((F.col("id") != F.col("c.id")) & measure.sizes(F.col("n"), F.col("c.n")) & (agree >= AGREE))
             .select(F.col("id").alias("a"), F.col("c.id").alias("b")).distinct())
 
 
