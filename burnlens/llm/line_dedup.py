@@ -181,7 +181,8 @@ def dedup(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with the common blocks cut from ``text``, and n_lines (before),
     n_removed, kept."""
     gone = materialise(removals(docs, least), "removals").select(F.col("doc_id").alias("__id"), F.col("places").alias("__places"))
-    rows = docs.drop("n_lines", "n_removed", "kept").join(gone, F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
+    # The removals grow with the documents: a merge join at every size.
+    rows = docs.drop("n_lines", "n_removed", "kept").join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
     rows = rows.withColumn("text", F.col("text").cast("string"))
     cut = rows.mapInArrow(_cut, StructType([*rows.schema.fields, StructField("n_lines", LongType()), StructField("kept", BooleanType())]))
     return cut.withColumn("n_removed", F.coalesce(F.size("__places"), F.lit(0)).cast("long")).drop("__places")
