@@ -157,22 +157,36 @@ def privacy_impact(skan: DataFrame) -> DataFrame:
     )
 
 
-def coverage_trend(skan: DataFrame) -> DataFrame:
-    return skan.groupBy("install_date").agg(
-        F.sum("skan_postbacks").alias("skan_postbacks"),
-        F.sum("mmp_installs").alias("mmp_installs"),
+def coverage_trend(cv_map: DataFrame, ads: DataFrame) -> DataFrame:
+    """First postbacks against reported installs by date. Each side is summed
+    from its own rows: the attribution mart repeats a cohort's installs for
+    every version of its postbacks."""
+    postbacks = cv_map.where(F.col("postback_sequence") == 1).groupBy("install_date").agg(
+        F.sum("postback_count").alias("skan_postbacks"), F.lit(0).cast("long").alias("mmp_installs"))
+    installs = ads.groupBy(F.col("stat_date").alias("install_date")).agg(
+        F.lit(0).cast("long").alias("skan_postbacks"), F.sum("installs").alias("mmp_installs"))
+    return postbacks.unionByName(installs).groupBy("install_date").agg(
+        F.sum("skan_postbacks").alias("skan_postbacks"), F.sum("mmp_installs").alias("mmp_installs"),
     ).withColumn("skan_coverage_rate", rnd(ratio("skan_postbacks", "mmp_installs"), 4))
 
 
-def skan_kpis(skan: DataFrame) -> DataFrame:
-    """Postback-weighted mean CV, monetisation rate and ROAS, from sums."""
-    weighted_cv = F.sum(F.col("avg_cv").cast("decimal(18,2)") * F.col("skan_postbacks")).cast("double")
-    return skan.agg(
-        F.sum("skan_postbacks").alias("skan_postbacks"),
-        rnd(ratio(weighted_cv, F.sum("skan_postbacks")), 4).alias("avg_conversion_value"),
-        rnd(ratio(F.sum("revenue_signal_postbacks"), F.sum("skan_postbacks")), 4)
-        .alias("monetisation_rate"),
-        rnd(ratio(dsum("skan_estimated_revenue_usd"), dsum("spend_usd")), 4).alias("skan_roas"),
+def skan_kpis(postbacks: DataFrame, ads: DataFrame) -> DataFrame:
+    """Mean conversion value, monetisation rate and ROAS of first postbacks,
+    from sums over the postbacks and over the ad rows, each counted once."""
+    first = postbacks.where(F.col("postback_sequence") == 1)
+    one = first.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("conversion_value").cast("long")).alias("cv"),
+        F.count_if("has_revenue_signal").alias("signals"), dsum("estimated_revenue_usd").alias("revenue"),
+        F.lit(None).cast("double").alias("spend"))
+    two = ads.agg(
+        *[F.lit(None).cast("long").alias(c) for c in ("n", "cv", "signals")],
+        F.lit(None).cast("double").alias("revenue"), dsum("spend_usd").alias("spend"))
+    t = one.unionByName(two).agg(*[F.max(c).alias(c) for c in ("n", "cv", "signals", "revenue", "spend")])
+    return t.select(
+        F.col("n").alias("skan_postbacks"),
+        rnd(ratio("cv", "n"), 4).alias("avg_conversion_value"),
+        rnd(ratio("signals", "n"), 4).alias("monetisation_rate"),
+        rnd(ratio("revenue", "spend"), 4).alias("skan_roas"),
     )
 
 

@@ -77,11 +77,22 @@ def revenue_events(iap: DataFrame) -> DataFrame:
         *COHORT, *SOURCE, "days_since_install", F.col("revenue_usd").alias("daily_revenue_usd"))
 
 
+def cohort_totals(installs: DataFrame) -> DataFrame:
+    """Installs, spend and CAC per cohort: the grain of the revenue join (the
+    cohort-installs model is finer, by network and country)."""
+    return (
+        installs.groupBy(*COHORT)
+        .agg(F.sum("cohort_installs").alias("cohort_installs"), dsum("cohort_spend_usd").alias("cohort_spend_usd"))
+        .withColumn("cac_usd", rnd(ratio("cohort_spend_usd", "cohort_installs"), 4))
+    )
+
+
 def cohort_revenue(daily: DataFrame, installs: DataFrame) -> DataFrame:
-    """int_cohort_revenue: running revenue per cohort, LTV and ROAS."""
+    """int_cohort_revenue: running revenue per cohort, LTV and ROAS. Joined to
+    one row per cohort, so no revenue row is repeated."""
     w = running(COHORT, ["days_since_install", *SOURCE])
     cr = daily.select("*", dsum("daily_revenue_usd", over=w).alias("cumulative_revenue_usd"))
-    ci = installs.select(*COHORT, "cohort_installs", "cohort_spend_usd", "cac_usd")
+    ci = cohort_totals(installs)
     return cr.join(ci, COHORT, "left").select(
         *COHORT, *SOURCE, "days_since_install", "daily_revenue_usd", "cumulative_revenue_usd",
         "cohort_installs", "cohort_spend_usd", "cac_usd",

@@ -282,7 +282,12 @@ FROM (
               ORDER BY days_since_install, network, country
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_revenue_usd
   FROM daily_revenue) cr
-LEFT JOIN int_cohort_installs ci
+LEFT JOIN (
+  SELECT install_date, campaign_id, creative_id, cohort_installs, cohort_spend_usd,
+         {R(RAT('cohort_spend_usd', 'cohort_installs'), 4)} AS cac_usd
+  FROM (SELECT install_date, campaign_id, creative_id, CAST(SUM(cohort_installs) AS BIGINT) AS cohort_installs,
+               {DSUM('cohort_spend_usd')} AS cohort_spend_usd
+        FROM int_cohort_installs GROUP BY install_date, campaign_id, creative_id)) ci
   ON ci.install_date = cr.install_date AND ci.campaign_id = cr.campaign_id
  AND ci.creative_id = cr.creative_id""")
 
@@ -607,12 +612,24 @@ LEFT JOIN (
   ) GROUP BY test_name) f ON f.test_name = n.test_name""")
 
 # -------------------------------------------------------------------- BI
+# Straight from the staged facts: every install, dollar and event once.
 cte("weekly_cohort_q", f"""
-SELECT CAST(date_trunc('week', install_date) AS DATE) AS install_week,
-       CAST(SUM(total_installs) AS BIGINT) AS total_installs,
-       {DSUM('total_spend_usd')} AS total_spend_usd,
+SELECT install_week, CAST(SUM(installs) AS BIGINT) AS total_installs, {DSUM('spend')} AS total_spend_usd,
        {', '.join(f"{DSUM(f'rev_d{d}')} AS rev_d{d}" for d in _DAYS)}
-FROM cohort_wide_sums_q GROUP BY CAST(date_trunc('week', install_date) AS DATE)""")
+FROM (
+  SELECT CAST(date_trunc('week', a.stat_date) AS DATE) AS install_week, a.installs, a.spend_usd AS spend,
+         {', '.join(f"0 AS rev_d{d}" for d in _DAYS)}
+  FROM stg_ad_stats a
+  WHERE a.installs > 0 AND a.campaign_id IN (SELECT campaign_id FROM stg_campaigns)
+    AND a.creative_id IN (SELECT creative_id FROM stg_creatives)
+  UNION ALL
+  SELECT CAST(date_trunc('week', e.install_date) AS DATE), 0, 0,
+         {', '.join(f"CASE WHEN e.days_since_install {'=' if d == 0 else '<='} {d} THEN e.revenue_usd ELSE 0 END" for d in _DAYS)}
+  FROM stg_iap_events e
+  WHERE e.is_revenue_event AND EXISTS (
+    SELECT 1 FROM int_cohort_installs i
+    WHERE i.install_date = e.install_date AND i.network = e.network AND i.country = e.country))
+GROUP BY install_week""")
 
 
 def _ctr_by_dol(where: str = "") -> str:
@@ -873,6 +890,7 @@ query("refresh_daily", _refresh((
     "int_cohort_installs", "int_cohort_revenue", "int_skan_cv_mapping",
     "mart_creative_burnout", "mart_campaign_performance", "mart_cohort_analysis",
     "mart_unit_economics", "mart_skan_attribution")))
+query("refresh_daily_incremental", QUERIES["inc_delete_insert"])
 query("refresh_weekly", _refresh((
     "int_cohort_installs", "int_cohort_revenue", "mart_cohort_analysis",
     "mart_unit_economics", "int_creative_daily_metrics", "mart_creative_burnout")))
@@ -904,8 +922,8 @@ query("bi_ltv_curve", f"""
 SELECT r.network, r.cohort_day, r.revenue_usd, i.installs,
        {R(RAT('r.revenue_usd', 'i.installs'), 4)} AS ltv_usd
 FROM ({' UNION ALL '.join(
-    f"SELECT network, {d} AS cohort_day, {_sum_when(f'days_since_install <= {d}', 'daily_revenue_usd')} "
-    f"AS revenue_usd FROM int_cohort_revenue GROUP BY network" for d in (7, 14, 30))}) r
+    f"SELECT network, {d} AS cohort_day, {_sum_when(f'days_since_install <= {d}', 'revenue_usd')} "
+    f"AS revenue_usd FROM stg_iap_events WHERE is_revenue_event GROUP BY network" for d in (7, 14, 30))}) r
 LEFT JOIN (SELECT network, CAST(SUM(cohort_installs) AS BIGINT) AS installs
            FROM int_cohort_installs GROUP BY network) i ON i.network = r.network""")
 sel("bi_roas_matrix", "mart_unit_economics", "campaign_id", "campaign_name", "network", "country",
@@ -933,16 +951,19 @@ SELECT network, CAST(SUM(fine_cv_postbacks) AS BIGINT) AS fine_cv_postbacks,
        CAST(SUM(medium_threshold_postbacks) AS BIGINT) AS medium_threshold_postbacks
 FROM mart_skan_attribution GROUP BY network""")
 query("bi_coverage_trend", f"""
-SELECT install_date, CAST(SUM(skan_postbacks) AS BIGINT) AS skan_postbacks,
-       CAST(SUM(mmp_installs) AS BIGINT) AS mmp_installs,
-       {R(RAT('SUM(skan_postbacks)', 'SUM(mmp_installs)'), 4)} AS skan_coverage_rate
-FROM mart_skan_attribution GROUP BY install_date""")
+SELECT d.install_date, COALESCE(p.n, 0) AS skan_postbacks, CAST(COALESCE(a.n, 0) AS BIGINT) AS mmp_installs,
+       {R(RAT('COALESCE(p.n, 0)', 'COALESCE(a.n, 0)'), 4)} AS skan_coverage_rate
+FROM (SELECT install_date FROM stg_skan_postbacks WHERE postback_sequence = 1 UNION SELECT stat_date FROM stg_ad_stats) d
+LEFT JOIN (SELECT install_date, COUNT(*) AS n FROM stg_skan_postbacks WHERE postback_sequence = 1 GROUP BY install_date) p
+  ON p.install_date IS NOT DISTINCT FROM d.install_date
+LEFT JOIN (SELECT stat_date, SUM(installs) AS n FROM stg_ad_stats GROUP BY stat_date) a
+  ON a.stat_date IS NOT DISTINCT FROM d.install_date""")
 query("bi_skan_kpis", f"""
-SELECT CAST(SUM(skan_postbacks) AS BIGINT) AS skan_postbacks,
-       {R(RAT('CAST(SUM(CAST(avg_cv AS DECIMAL(18,2)) * skan_postbacks) AS DOUBLE)', 'SUM(skan_postbacks)'), 4)} AS avg_conversion_value,
-       {R(RAT('SUM(revenue_signal_postbacks)', 'SUM(skan_postbacks)'), 4)} AS monetisation_rate,
-       {R(RAT(DSUM('skan_estimated_revenue_usd'), DSUM('spend_usd')), 4)} AS skan_roas
-FROM mart_skan_attribution""")
+SELECT COUNT(*) AS skan_postbacks,
+       {R(RAT('SUM(conversion_value)', 'COUNT(*)'), 4)} AS avg_conversion_value,
+       {R(RAT('COUNT(*) FILTER (WHERE has_revenue_signal)', 'COUNT(*)'), 4)} AS monetisation_rate,
+       {R(RAT(DSUM('estimated_revenue_usd'), f"(SELECT {DSUM('spend_usd')} FROM stg_ad_stats)"), 4)} AS skan_roas
+FROM stg_skan_postbacks WHERE postback_sequence = 1""")
 
 # analyses claimed by the README
 query("rotation_schedule", """

@@ -19,15 +19,17 @@ DEFAULT_AS_OF = dt.date(2024, 12, 31)
 
 
 class Models:
-    def __init__(self, raw: dict[str, DataFrame], as_of: dt.date | None = DEFAULT_AS_OF,
+    """``as_of``: the evaluation date (None: the current date)."""
+
+    def __init__(self, raw: dict[str, DataFrame], as_of: dt.date | None = None,
                  denominator: str = "total"):
         self.raw = raw
         self.as_of = as_of
         self.denominator = denominator
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Models":
-        return cls(adapter.raw_tables(spark, sf_dir), **kw)
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF, **kw) -> "Models":
+        return cls(adapter.raw_tables(spark, sf_dir), as_of=as_of, **kw)
 
     @classmethod
     def from_raw_files(cls, spark: SparkSession, root: str, since: dt.date | None = None,
@@ -106,8 +108,7 @@ class Models:
     def mart_cohort_analysis(self) -> DataFrame:
         # Only revenue sums are read from the cohort revenue model, so they
         # are aggregated from the revenue events directly: no join back to
-        # installs (which could only fan rows out, never add revenue) and no
-        # intermediate cohort-day shuffle.
+        # installs and no intermediate cohort-day shuffle.
         return cohort.cohort_analysis(self.int_cohort_installs, self.revenue_events)
 
     @cached_property
@@ -143,6 +144,7 @@ class Models:
 
 def load_raw(raw: dict[str, DataFrame], root: str) -> None:
     """Ingest: write each raw table with its layout (month partitions for the
-    facts, sort key within files). Idempotent: every table is replaced."""
+    facts, sort key within files) and the time of the load. Idempotent: every
+    table is replaced by a new version."""
     for t in RAW_TABLES:
-        files.write_raw_table(raw[t], f"{root}/{t}", t)
+        files.write_raw_table(files.with_loaded_at(raw[t]), f"{root}/{t}", t)

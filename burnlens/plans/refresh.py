@@ -4,30 +4,43 @@
 materialised in dependency order, then the data tests. ``refresh_weekly``:
 the cohort models, the cohort marts and the burnout mart, then the tests.
 
-Each materialised model is written to the output folder and read back, and
-the models downstream of it read the written table: the lineage is cut at
-every layer, so a lost executor recomputes one layer, not the whole graph.
-The daily metrics are written bucketed by creative_id, so the three models
-that read them (peaks, burnout events, burnout mart) run without a shuffle.
-Runs are re-runnable: every write replaces its target.
+Each materialised model is written as a new version of its table and read back,
+and the models downstream of it read the written files: the lineage is cut at
+every layer, so a lost executor recomputes one layer, not the whole graph. The
+daily metrics are written bucketed by creative_id, so the three models that
+read them (peaks, burnout events, burnout mart) run without a shuffle.
+
+The versions are committed only after the data tests: with ``on_failure="raise"``
+a failed test leaves every table as it was. Runs are repeatable; the caller's
+Models are not changed.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burnlens.operators import quality
-from burnlens.plans.models import Models
-from burnlens.sources.files import write_bucketed, write_replace
-from burnlens.streaming.incremental import incremental_burnout
+from burnlens.plans.models import RAW_TABLES, Models, load_raw
+from burnlens.sources import files, versions
+from burnlens.streaming.incremental import stage_incremental_burnout
 
 # Materialised models that are bucketed by the key all their readers group,
-# window or join on: peaks, burnout events and the burnout mart read the daily
-# metrics without a shuffle.
-BUCKETED = {"int_creative_daily_metrics": ("creative_id", ("creative_id", "stat_date"))}
+# window or join on, with the sort order and the number of buckets: peaks,
+# burnout events and the burnout mart read the daily metrics without a shuffle.
+BUCKETED = {"int_creative_daily_metrics": ("creative_id", ("creative_id", "stat_date"), 16)}
+# Marts by month and their sort keys: date filters and the next incremental run
+# skip files.
+BY_MONTH = {"mart_creative_burnout": ("stat_date", ("creative_id", "stat_date"))}
+
+
+class DataTestFailure(RuntimeError):
+    """Data tests failed; nothing was committed."""
+
 
 DAILY = (
     "int_creative_daily_metrics", "int_creative_peaks", "int_burnout_events",
@@ -41,45 +54,67 @@ WEEKLY = (
 )
 
 
+def _bucketed_table(out_root: str) -> str:
+    return f"burnlens_{hashlib.sha1(out_root.encode()).hexdigest()[:12]}"
+
+
 def materialise(spark: SparkSession, models: Models, names, out_root: str,
-                previous_root: str | None = None) -> dict[str, str]:
-    """Write each model in order and make downstream models read the written
-    table. With ``previous_root`` (the output folder of the previous run) the
-    burnout mart is maintained incrementally, as the reference's daily run
-    does: re-process the last 15 dates of the previous version, delete+insert,
-    write the result as this run's version."""
-    paths = {}
+                previous_root: str | None = None, buckets: int | None = None) -> tuple[Models, dict[str, versions.Staged]]:
+    """Write each model in order, downstream models reading the written files.
+    Returns Models over those files, and the versions to commit. With
+    ``previous_root`` (the output folder of the previous run, which may be
+    ``out_root``) the burnout mart is maintained incrementally, as the
+    reference's daily run does: the last 15 dates are re-processed, files of
+    months before them are kept."""
+    run = Models(models.raw, models.as_of, models.denominator)
+    staged: dict[str, versions.Staged] = {}
     for name in names:
-        path = f"{out_root}/{name}"
+        root = f"{out_root}/{name}"
         if name in BUCKETED:
-            key, sort_by = BUCKETED[name]
-            table = f"burnlens_{hashlib.sha1(out_root.encode()).hexdigest()[:12]}_{name}"
-            models.__dict__[name] = write_bucketed(
-                spark, getattr(models, name), path, table, key, sort_by)
-            paths[name] = path
+            key, sort_by, n = BUCKETED[name]
+            path = versions.new_path(root)
+            table = f"{_bucketed_table(out_root)}_{uuid.uuid4().hex[:8]}_{name}"
+            run.__dict__[name] = files.write_bucketed(spark, getattr(run, name), path, table, key, sort_by, buckets or n)
+            staged[name] = versions.Staged(root, ((versions.WHOLE, path),))
             continue
+        df = getattr(run, name)
         if name == "mart_creative_burnout" and previous_root is not None:
-            incremental_burnout(spark, models.int_creative_daily_metrics,
-                                f"{previous_root}/{name}", path)
+            staged[name] = stage_incremental_burnout(spark, run.int_creative_daily_metrics, f"{previous_root}/{name}", root)
+        elif name in BY_MONTH:
+            staged[name] = versions.stage_months(df, root, *BY_MONTH[name])
         else:
-            write_replace(getattr(models, name), path)
-        models.__dict__[name] = spark.read.parquet(path)  # downstream reads the table
-        paths[name] = path
-    return paths
+            staged[name] = versions.stage(df, root)
+        run.__dict__[name] = spark.read.schema(df.schema).parquet(*(p for _, p in staged[name].parts))
+    return run, staged
+
+
+def drop_bucketed(spark: SparkSession, out_root: str) -> None:
+    """Take the run's bucketed tables off the session's catalog (files stay)."""
+    for t in spark.catalog.listTables(pattern=f"{_bucketed_table(out_root)}_*"):
+        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
 
 
 def _run(spark: SparkSession, models: Models, names, out_root: str,
-         previous_root: str | None = None) -> DataFrame:
-    paths = materialise(spark, models, names, out_root, previous_root)
-    tests = quality.dq_summary(models.raw, models.mart_creative_burnout, models.stg_ad_stats)
-    write_replace(tests, f"{out_root}/dq_summary")
-    failed = spark.read.parquet(f"{out_root}/dq_summary").agg(
-        F.count_if(F.col("status") == "FAIL").alias("n")).select(
+         previous_root: str | None = None, on_failure: str = "raise") -> DataFrame:
+    if on_failure not in ("raise", "publish"):
+        raise ValueError(f"unknown policy {on_failure!r}")
+    run, staged = materialise(spark, models, names, out_root, previous_root)
+    tests = quality.dq_summary(models.raw, run.mart_creative_burnout, run.stg_ad_stats)
+    staged["dq_summary"] = versions.stage(tests, f"{out_root}/dq_summary")
+    results = spark.read.parquet(staged["dq_summary"].parts[0][1])
+    failed = results.agg(F.count_if(F.col("status") == "FAIL").alias("n")).select(
         F.lit("dq_failed_tests").alias("model"), F.col("n").alias("row_count"))
+    drop_bucketed(spark, out_root)
+    if on_failure == "raise":
+        names_failed = [r["test_name"] for r in results.where(F.col("status") == "FAIL").collect()]
+        if names_failed:
+            raise DataTestFailure(", ".join(sorted(names_failed)))
+    for s in staged.values():
+        versions.commit(spark, s)
     counts = [
-        spark.read.parquet(p).agg(F.count(F.lit(1)).alias("row_count"))
+        versions.read(spark, s.root).agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(n).alias("model"), "row_count")
-        for n, p in paths.items()
+        for n, s in staged.items() if n != "dq_summary"
     ]
     out = counts[0]
     for c in counts[1:]:
@@ -88,10 +123,34 @@ def _run(spark: SparkSession, models: Models, names, out_root: str,
 
 
 def refresh_daily(spark: SparkSession, models: Models, out_root: str,
-                  previous_root: str | None = None) -> DataFrame:
+                  previous_root: str | None = None, on_failure: str = "raise") -> DataFrame:
     """Run summary: (model, row_count) per written model, plus failed tests.
-    ``previous_root``: the previous run's output, for the incremental mart."""
-    return _run(spark, models, DAILY, out_root, previous_root)
+    ``previous_root``: the previous run's output, for the incremental mart.
+    ``on_failure``: "raise" commits nothing when a data test fails, "publish"
+    reports the failures only."""
+    return _run(spark, models, DAILY, out_root, previous_root, on_failure)
+
+
+def load_csv(spark: SparkSession, csv_root: str, raw_root: str) -> DataFrame:
+    """Load the five raw tables from their CSV files (``csv_root``/<table>);
+    returns (table_name, row_count)."""
+    load_raw({t: files.read_raw_csv(spark, f"{csv_root}/{t}", t) for t in RAW_TABLES}, raw_root)
+    return files.load_row_counts({t: files.read_raw_table(spark, f"{raw_root}/{t}", t) for t in RAW_TABLES})
+
+
+def run_daily(spark: SparkSession, csv_root: str, root: str, as_of: dt.date | None = None,
+              on_failure: str = "raise") -> tuple[DataFrame, DataFrame]:
+    """The whole daily job: load, staging, intermediate models, marts, tests.
+    Returns the loaded row counts and the run summary."""
+    loaded = load_csv(spark, csv_root, f"{root}/raw")
+    models = Models.from_raw_files(spark, f"{root}/raw", as_of=as_of)
+    previous = f"{root}/models" if versions.exists(spark, f"{root}/models/mart_creative_burnout") else None
+    return loaded, refresh_daily(spark, models, f"{root}/models", previous, on_failure)
+
+
+def run_weekly(spark: SparkSession, root: str, as_of: dt.date | None = None, on_failure: str = "raise") -> DataFrame:
+    """The weekly job over the tables that the daily job loaded."""
+    return refresh_weekly(spark, Models.from_raw_files(spark, f"{root}/raw", as_of=as_of), f"{root}/models", on_failure)
 
 
 def backfill_weekly(spark: SparkSession, raw_root: str, target_path: str,
@@ -122,5 +181,5 @@ def export_marts(spark: SparkSession, models: Models, out_root: str,
     return paths
 
 
-def refresh_weekly(spark: SparkSession, models: Models, out_root: str) -> DataFrame:
-    return _run(spark, models, WEEKLY, out_root)
+def refresh_weekly(spark: SparkSession, models: Models, out_root: str, on_failure: str = "raise") -> DataFrame:
+    return _run(spark, models, WEEKLY, out_root, on_failure=on_failure)

@@ -21,7 +21,7 @@ from burnlens.operators import staging as stg
 from burnlens.plans import refresh
 from burnlens.plans.models import DEFAULT_AS_OF, Models
 from burnlens.session import scratch_path
-from burnlens.sources import files
+from burnlens.sources import files, versions
 from burnlens.sources.schemas import AD_DAILY_STATS, RAW_SCHEMAS, SORT_KEYS
 from burnlens.streaming import incremental as inc
 
@@ -74,7 +74,8 @@ def _src_schema(spark, sf):
 @register("src_csv")
 def _src_csv(spark, sf):
     path = scratch_path(spark, "src_csv")
-    M(spark, sf).raw["iap_events"].write.option("header", True).csv(path)
+    rows = M(spark, sf).raw["iap_events"]
+    rows.select(*rows.columns[::-1]).write.option("header", True).csv(path)  # matched by name
     return files.api_edge(files.read_raw_csv(spark, path, "iap_events"))
 
 
@@ -90,7 +91,7 @@ def _sink_replace(spark, sf):
     raw = M(spark, sf).raw["ad_daily_stats"]
     files.write_replace(raw, path)
     files.write_replace(raw, path)  # a re-run replaces, never appends
-    return files.api_edge(spark.read.schema(AD_DAILY_STATS).parquet(path))
+    return files.api_edge(files.read_table(spark, path, AD_DAILY_STATS))
 
 
 @register("load_row_counts")
@@ -124,7 +125,7 @@ def _mat_view(spark, sf):
 def _mat_table(spark, sf):
     path = scratch_path(spark, "mat_table")
     files.write_replace(M(spark, sf).int_creative_peaks, path)
-    return spark.read.parquet(path)
+    return files.read_table(spark, path)
 
 
 @register("sink_export_csv")
@@ -469,7 +470,7 @@ def _partial_models(spark, sf) -> Models:
     raw = dict(m.raw)
     raw["ad_daily_stats"] = raw["ad_daily_stats"].where(
         F.col("stat_date") <= F.lit(INCREMENTAL_CUTOFF))
-    return Models(raw)
+    return Models(raw, m.as_of)
 
 
 def _first_run_target(spark, sf) -> str:
@@ -480,7 +481,7 @@ def _first_run_target(spark, sf) -> str:
 
 @register("inc_window_filter")
 def _inc_window_filter(spark, sf):
-    target = spark.read.parquet(_first_run_target(spark, sf))
+    target = versions.read(spark, _first_run_target(spark, sf))
     since = inc.reprocess_since(target)
     return inc.inc_window_filter(M(spark, sf).int_creative_daily_metrics, since).select(
         "creative_id", "stat_date", "impressions", "ctr_7d_avg")
@@ -491,7 +492,7 @@ def _inc_delete_insert(spark, sf):
     target = _first_run_target(spark, sf)
     out = scratch_path(spark, "burnout_v2")
     inc.incremental_burnout(spark, M(spark, sf).int_creative_daily_metrics, target, out)
-    return spark.read.parquet(out)
+    return versions.read(spark, out)
 
 
 @register("inc_delete_insert_compat")
@@ -503,14 +504,14 @@ def _inc_delete_insert_compat(spark, sf):
     out = scratch_path(spark, "burnout_v2c")
     inc.incremental_burnout(spark, M(spark, sf).int_creative_daily_metrics, target, out,
                             compat_window=True)
-    return spark.read.parquet(out)
+    return versions.read(spark, out)
 
 
 @register("inc_full_refresh")
 def _inc_full_refresh(spark, sf):
     out = scratch_path(spark, "burnout_full")
     inc.full_refresh(M(spark, sf).mart_creative_burnout, out)
-    return spark.read.parquet(out)
+    return versions.read(spark, out)
 
 
 @register("backfill_window")
@@ -519,7 +520,7 @@ def _backfill_window(spark, sf):
     stale_raw = dict(m.raw)
     stale_raw["iap_events"] = stale_raw["iap_events"].where(
         F.col("event_date") <= F.lit(STALE_REVENUE_CUTOFF))
-    stale = Models(stale_raw).mart_cohort_analysis
+    stale = Models(stale_raw, m.as_of).mart_cohort_analysis
     path = scratch_path(spark, "cohort_target")
     inc.write_by_install_date(stale, path)
     inc.backfill_cohorts(m.mart_cohort_analysis, path, DEFAULT_AS_OF)
@@ -528,12 +529,22 @@ def _backfill_window(spark, sf):
 
 @register("refresh_daily")
 def _refresh_daily(spark, sf):
-    return refresh.refresh_daily(spark, M(spark, sf), scratch_path(spark, "daily"))
+    return refresh.refresh_daily(spark, M(spark, sf), scratch_path(spark, "daily"), on_failure="publish")
+
+
+@register("refresh_daily_incremental")
+def _refresh_daily_incremental(spark, sf):
+    """Two daily runs on one folder: the first sees the ad days up to
+    INCREMENTAL_CUTOFF, the second maintains the burnout mart."""
+    out = scratch_path(spark, "daily")
+    refresh.refresh_daily(spark, _partial_models(spark, sf), out, on_failure="publish")
+    refresh.refresh_daily(spark, M(spark, sf), out, previous_root=out, on_failure="publish")
+    return versions.read(spark, f"{out}/mart_creative_burnout")
 
 
 @register("refresh_weekly")
 def _refresh_weekly(spark, sf):
-    return refresh.refresh_weekly(spark, M(spark, sf), scratch_path(spark, "weekly"))
+    return refresh.refresh_weekly(spark, M(spark, sf), scratch_path(spark, "weekly"), on_failure="publish")
 
 
 # ------------------------------------------------------------ data quality
@@ -584,7 +595,7 @@ def _on(model: str, fn) -> Query:
 def _cohort_pair(fn) -> Query:
     def run(spark, sf):
         m = M(spark, sf)
-        return fn(m.int_cohort_installs, m.int_cohort_revenue)
+        return fn(m.int_cohort_installs, m.revenue_events)
     return run
 
 
@@ -602,8 +613,8 @@ REGISTRY.update({
     "bi_installs_by_network_week": _on("mart_cohort_analysis", bi.installs_by_network_week),
     "bi_cv_bucket_distribution": _on("mart_skan_attribution", bi.cv_bucket_distribution),
     "bi_privacy_impact": _on("mart_skan_attribution", bi.privacy_impact),
-    "bi_coverage_trend": _on("mart_skan_attribution", bi.coverage_trend),
-    "bi_skan_kpis": _on("mart_skan_attribution", bi.skan_kpis),
+    "bi_coverage_trend": lambda spark, sf: bi.coverage_trend((m := M(spark, sf)).int_skan_cv_mapping, m.stg_ad_stats),
+    "bi_skan_kpis": lambda spark, sf: bi.skan_kpis((m := M(spark, sf)).stg_skan_postbacks, m.stg_ad_stats),
     "post_burnout_cpi_inflation": _on("mart_creative_burnout", bi.post_burnout_cpi_inflation),
     "wasted_spend_share": _on("mart_creative_burnout", bi.wasted_spend_share),
     "traffic_mix": _on("int_creative_daily_metrics", bi.traffic_mix),

@@ -31,6 +31,8 @@ def cluster_conf(total_cores: int) -> dict[str, str]:
     * broadcast stays behind the measured-size threshold (64 MB): dimensions
       broadcast, anything that grows with the facts sort-merges;
     * file splits of 256 MB keep scan tasks in the thousands, not millions.
+
+    The submitter must also set ``spark.checkpoint.dir`` to a shared folder.
     """
     return {
         "spark.sql.adaptive.enabled": "true",
@@ -61,24 +63,25 @@ def local_session(cores: int | str = "*", app: str = "burnlens", **conf) -> Spar
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
-    Only when the session names none (local tests) is a private temporary
-    folder created and registered as the checkpoint dir.
+    Only a local session that names none gets a private temporary folder; on a
+    cluster every executor would write to its own disk, so there the setting is
+    required.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    try:  # classic sessions also expose the directory set at runtime
-        d = spark.sparkContext.getCheckpointDir() or d
-    except Exception:  # e.g. Spark Connect: no SparkContext on the client
-        pass
+    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        require_shared_folder(spark.sparkContext.master)
         d = tempfile.mkdtemp(prefix="burnlens-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:
-            pass
+        spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
+def require_shared_folder(master: str) -> None:
+    """Raise unless all executors of ``master`` run on this machine."""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), "burnlens", f"{name}-{uuid.uuid4().hex}")

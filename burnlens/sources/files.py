@@ -1,8 +1,7 @@
 """File sources and sinks: typed CSV ingest, idempotent replace, month
 partitioning, sorted layout, BI exports.
 
-Every write goes to a path the caller owns (see ``burnlens.session.
-scratch_path``); a replace never writes over the path it is reading, so a
+Every replace writes a new version and then commits it (see ``versions``), so a
 lost executor or a failed job leaves the previous version intact.
 """
 
@@ -15,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from burnlens.functions.columns import month_key, nan_to_null
-from burnlens.sources.schemas import MONTH_PARTITION, RAW_SCHEMAS, SORT_KEYS, TIEBREAK
+from burnlens.sources import versions
+from burnlens.sources.schemas import MONTH_PARTITION, RAW_SCHEMAS, SORT_KEYS
 
-MONTH_COLUMN = "ym"
+MONTH_COLUMN = versions.MONTH
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -47,7 +47,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    return read_csv(spark, path, RAW_SCHEMAS[table])
+    """A raw table's CSV files, columns matched by name: the header gives their
+    order, columns that the table lacks are left out, a missing one is an
+    error, and so is a file with another header than the first."""
+    wanted = RAW_SCHEMAS[table]
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [f.name for f in wanted if f.name not in header]
+    if missing:
+        raise ValueError(f"{table}: the CSV files at {path} have no column {', '.join(missing)}")
+    types = {f.name: f.dataType for f in wanted}
+    given = T.StructType([T.StructField(c, types.get(c, T.StringType()), True) for c in header])
+    return read_csv(spark, path, given).select(*wanted.fieldNames())
 
 
 def with_loaded_at(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -55,15 +65,20 @@ def with_loaded_at(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     return df.withColumn("loaded_at", F.current_timestamp() if loaded_at is None else loaded_at)
 
 
-def write_replace(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Idempotent full replace: overwrite the whole target (sink_replace)."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def write_replace(df: DataFrame, path: str) -> None:
+    """Idempotent full replace of the table at ``path`` (sink_replace)."""
+    versions.publish(df, path)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table written by ``write_replace``."""
+    return versions.read(spark, path, schema)
 
 
 def write_month_partitioned(df: DataFrame, path: str, date_col: str) -> None:
     """Facts partitioned by month of ``date_col`` (sink_partition_month).
     Month, not day: few, large files; readers prune on ``ym`` or on the date."""
-    (df.withColumn(MONTH_COLUMN, month_key(date_col))
+    (versions.rebalance(df.withColumn(MONTH_COLUMN, month_key(date_col)), MONTH_COLUMN)
      .write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path))
 
 
@@ -80,50 +95,39 @@ def write_sorted(df: DataFrame, path: str, keys) -> None:
 
 
 def write_raw_table(df: DataFrame, path: str, table: str) -> None:
-    """Raw table layout: month partitions for facts, sorted by the table's key.
-
-    Facts are range-partitioned on (month, sort key, tiebreak) before the
-    write: each task covers one contiguous key range, so it writes files for
-    one or two months only (file count ~ tasks, not tasks x months), files do
-    not overlap on the key (min/max statistics prune well), and the unique
-    tiebreak column spreads a hot key over several tasks."""
-    date_col = MONTH_PARTITION[table]
-    keys = SORT_KEYS[table]
+    """Raw table layout: a new version, facts in month partitions, sorted by
+    the table's key within files. The rows are rebalanced by month: AQE merges
+    small months into few tasks and splits large ones, so the number of files
+    follows the data, and the input is read once."""
+    date_col, keys = MONTH_PARTITION[table], SORT_KEYS[table]
     if date_col is None:
-        df.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
-        return
-    order = (MONTH_COLUMN, *keys, *TIEBREAK[table])
-    (df.withColumn(MONTH_COLUMN, month_key(date_col))
-     .repartitionByRange(*order)
-     .sortWithinPartitions(*order)
-     .write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path))
+        versions.publish(df.sortWithinPartitions(*keys), path)
+    else:
+        versions.commit(df.sparkSession, versions.stage_months(df, path, date_col, keys))
 
 
 def read_raw_table(spark: SparkSession, path: str, table: str, since=None) -> DataFrame:
-    """A raw table as written by ``write_raw_table``. With ``since`` (a date),
-    fact tables keep only rows dated on or after it: the month predicate
-    prunes ``ym`` partitions, the date predicate skips row groups."""
-    date_col = MONTH_PARTITION[table]
-    if date_col is None:
-        return spark.read.schema(RAW_SCHEMAS[table]).parquet(path)
-    df = read_month_partitioned(spark, path, RAW_SCHEMAS[table])
-    if since is not None:
-        df = df.where((F.col(MONTH_COLUMN) >= since.strftime("%Y%m"))
-                      & (F.col(date_col) >= F.lit(since)))
-    return df.select(*RAW_SCHEMAS[table].fieldNames())
+    """A raw table as written by ``write_raw_table``, without load columns.
+    With ``since`` (a date), fact tables keep only rows dated on or after it:
+    earlier months' files are not listed, the date predicate skips row groups."""
+    date_col, schema = MONTH_PARTITION[table], RAW_SCHEMAS[table]
+    if date_col is None or since is None:
+        return versions.read(spark, path, schema)
+    months = [m for m in versions.parts(spark, path) if m == versions.WHOLE or since.strftime("%Y%m") <= m < "none"]
+    return versions.read(spark, path, schema, months).where(F.col(date_col) >= F.lit(since))
 
 
 def write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, key: str,
-                   sort_by=(), buckets: int | None = None) -> DataFrame:
+                   sort_by=(), buckets: int = 16) -> DataFrame:
     """Write ``df`` as a table bucketed by ``key`` (files at ``path``) and
     return it. Readers that group, window or join on ``key`` then use the
     bucket layout instead of a shuffle. The repartition on the same key and
     count gives one file per bucket; when ``df`` is already hash-partitioned
     by ``key`` (e.g. the output of a window on it) Spark merges the two into
-    a single exchange."""
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartition(n, key).write.mode("overwrite").format("parquet")
-     .bucketBy(n, key).sortBy(*(sort_by or (key,)))
+    a single exchange. ``buckets`` is part of the table's layout, chosen by its
+    size, not by the session's shuffle partitions."""
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, key).sortBy(*(sort_by or (key,)))
      .option("path", path).saveAsTable(table))
     return spark.table(table)
 

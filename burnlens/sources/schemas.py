@@ -86,15 +86,6 @@ SORT_KEYS = {
     "skan_postbacks": ("install_date", "campaign_id", "creative_id"),
     "iap_events": ("install_date", "event_date", "campaign_id"),
 }
-# A high-cardinality column appended to the sort key when range-partitioning
-# the write, so one hot (date, campaign, creative) key spreads over tasks.
-TIEBREAK = {
-    "campaigns": (),
-    "creatives": (),
-    "ad_daily_stats": ("network", "country"),
-    "skan_postbacks": ("postback_id",),
-    "iap_events": ("event_id",),
-}
 MONTH_PARTITION = {
     "campaigns": None,
     "creatives": None,

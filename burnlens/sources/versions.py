@@ -1,0 +1,122 @@
+"""Versioned tables: every write goes to new files, and a table's log says
+which files it consists of.
+
+A table is a folder. Each write adds a folder of data files; a commit appends
+one small file to ``_log`` that lists, for the new version, every part of the
+table (its key, for example a month, and its path). Readers take the parts of
+the highest version. So a failed or repeated write leaves the previous version
+as it was, readers never see half a write, and a write of some months keeps the
+files of all others. Old files are left for the storage's retention policy.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from burnlens.functions.columns import month_key
+
+LOG = "_log"
+LOG_SCHEMA = "version long, part string, path string"
+WHOLE = "all"  # the key of an undivided table's only part
+MONTH = "ym"
+
+
+class NoTable(LookupError):
+    """A folder without a committed version."""
+
+
+@dataclass(frozen=True)
+class Staged:
+    """Files written for a new version that isn't committed yet."""
+    root: str
+    parts: tuple[tuple[str, str], ...]
+
+
+def new_path(root: str) -> str:
+    return f"{root}/v-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, root: str, write: Callable[[DataFrame, str], None] | None = None) -> Staged:
+    """Write ``df`` as the whole of a new version."""
+    path = new_path(root)
+    if write is None:
+        df.write.parquet(path)
+    else:
+        write(df, path)
+    return Staged(root, ((WHOLE, path),))
+
+
+def parts(spark: SparkSession, root: str) -> dict[str, str]:
+    """Path of each part of the current version."""
+    try:
+        log = spark.read.schema(LOG_SCHEMA).json(f"{root}/{LOG}")
+        rows = log.where(F.col("version") == log.agg(F.max("version")).first()[0]).collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            rows = []
+        else:
+            raise
+    if not rows:
+        raise NoTable(root)
+    return {r["part"]: r["path"] for r in rows}
+
+
+def exists(spark: SparkSession, root: str) -> bool:
+    try:
+        return bool(parts(spark, root))
+    except NoTable:
+        return False
+
+
+def commit(spark: SparkSession, staged: Staged) -> None:
+    """Make the staged files the current version (one file, written whole)."""
+    try:
+        latest = spark.read.schema(LOG_SCHEMA).json(f"{staged.root}/{LOG}").agg(F.max("version")).first()[0] or 0
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        latest = 0
+    rows = [(latest + 1, part, path) for part, path in staged.parts]
+    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{staged.root}/{LOG}")
+
+
+def publish(df: DataFrame, root: str, write: Callable[[DataFrame, str], None] | None = None) -> None:
+    """Replace the table: write a new version, then commit it."""
+    commit(df.sparkSession, stage(df, root, write))
+
+
+def read(spark: SparkSession, root: str, schema: T.StructType | None = None, only: Iterable[str] | None = None) -> DataFrame:
+    """The current version, or the parts of it whose keys are in ``only``."""
+    held = parts(spark, root)
+    paths = [p for k, p in sorted(held.items()) if only is None or k in set(only)]
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    if not paths:
+        return reader.parquet(*held.values()).limit(0)
+    return reader.parquet(*paths)
+
+
+def rebalance(df: DataFrame, *columns: str) -> DataFrame:
+    """Deal rows out by ``columns`` for a partitioned write: few files for each
+    value, large values split, small ones merged (no sampling of the input)."""
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(columns)}) */ * FROM {{rows}}", rows=df)
+
+
+def stage_months(df: DataFrame, root: str, date_col: str, sort_by: Iterable[str] = (), keep: dict[str, str] | None = None) -> Staged:
+    """Write ``df`` by month of ``date_col``; parts in ``keep`` stay as they are."""
+    spark = df.sparkSession
+    path = new_path(root)
+    rows = rebalance(df.withColumn(MONTH, F.coalesce(month_key(date_col), F.lit("none"))), MONTH)
+    rows.sortWithinPartitions(MONTH, *sort_by).write.partitionBy(MONTH).parquet(path)
+    months = [r[MONTH] for r in spark.read.schema(f"{MONTH} string").parquet(path).select(MONTH).distinct().collect()]
+    new = tuple((m, f"{path}/{MONTH}={m}") for m in sorted(months))
+    if not new and not keep:
+        new = ((WHOLE, new_path(root)),)
+        df.limit(0).write.parquet(new[0][1])
+    return Staged(root, (*sorted((keep or {}).items()), *new))

@@ -3,15 +3,17 @@ it has no stream source, watermark or state store, so neither do we).
 
 * burnout mart: re-process the last 15 dates of the target (max date - 14),
   delete those (creative_id, stat_date) keys from the target and insert the
-  new rows. Only the recent slice of the target takes part in the anti join;
-  older rows pass through untouched, so the join is bounded by 15 days of
-  creatives however long the history grows.
+  new rows.
 * cohort backfill: recompute the cohorts installed in the last 45 days and
-  replace exactly those install_date partitions (dynamic partition overwrite).
+  replace that whole window: dates that the fresh result lacks go too.
+
+Targets are tables by month (see ``sources.versions``), sorted by their key. A
+run reads and writes only the months that its window touches; the others stay
+in the new version as the files they are.
 
 The one value pulled to the driver is the one-row max(stat_date) watermark.
-Every result is written to a new path; nothing is written over a path that
-the same job reads.
+Every result is a new version; nothing is written over files that the same job
+reads.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from burnlens.functions import constants as K
 from burnlens.operators.creative import creative_burnout
+from burnlens.sources import versions
 
 BURNOUT_KEYS = ("creative_id", "stat_date")
 
@@ -61,43 +64,67 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys=BURNOUT_KEYS,
     return kept.unionByName(batch.select(*target.columns))
 
 
-def incremental_burnout(spark: SparkSession, metrics: DataFrame, target_path: str | None,
-                        out_path: str, compat_window: bool = False) -> str:
-    """One incremental run of the burnout mart; returns the new version path."""
-    target = spark.read.parquet(target_path) if target_path else None
-    since = reprocess_since(target)
+def write_by_month(df: DataFrame, root: str, date_col: str = "stat_date", sort_by=BURNOUT_KEYS) -> None:
+    """The whole target as a new version, by month, sorted by its key."""
+    versions.commit(df.sparkSession, versions.stage_months(df, root, date_col, sort_by))
+
+
+def _split(held: dict[str, str], since: dt.date) -> tuple[dict[str, str], list[str]]:
+    """Parts that a window from ``since`` leaves alone, and the keys of the others."""
+    first = since.strftime("%Y%m")
+    keep = {m: p for m, p in held.items() if m < first}
+    return keep, [m for m in held if m not in keep]
+
+
+def stage_incremental_burnout(spark: SparkSession, metrics: DataFrame, target_root: str | None, out_root: str,
+                              compat_window: bool = False) -> versions.Staged:
+    """The next version of the burnout mart, not committed."""
+    held = versions.parts(spark, target_root) if target_root and versions.exists(spark, target_root) else {}
+    latest = max((m for m in held if m != "none"), default=None)
+    since = reprocess_since(versions.read(spark, target_root, only=[latest])) if latest else None
     if since is None:
-        creative_burnout(metrics).write.mode("overwrite").parquet(out_path)
-        return out_path
+        return versions.stage_months(creative_burnout(metrics), out_root, "stat_date", BURNOUT_KEYS)
+    keep, touched = _split(held, since)
+    target = versions.read(spark, target_root, only=touched)
     batch = creative_burnout(metrics, since=since, compat_window=compat_window)
-    delete_insert(target, batch, since=since).write.mode("overwrite").parquet(out_path)
-    return out_path
+    return versions.stage_months(delete_insert(target, batch, since=since), out_root, "stat_date", BURNOUT_KEYS, keep)
+
+
+def incremental_burnout(spark: SparkSession, metrics: DataFrame, target_root: str | None,
+                        out_root: str, compat_window: bool = False) -> str:
+    """One incremental run of the burnout mart: a new version at ``out_root``
+    (which may be the target itself). Months before the window are not read
+    but for the watermark, and not written."""
+    versions.commit(spark, stage_incremental_burnout(spark, metrics, target_root, out_root, compat_window))
+    return out_root
 
 
-def full_refresh(df: DataFrame, out_path: str) -> str:
-    df.write.mode("overwrite").parquet(out_path)
-    return out_path
+def full_refresh(df: DataFrame, out_root: str) -> str:
+    write_by_month(df, out_root)
+    return out_root
 
 
 def backfill_since(as_of: dt.date, days: int = K.BACKFILL_DAYS) -> dt.date:
     return as_of - dt.timedelta(days=days)
 
 
-def write_by_install_date(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").partitionBy("install_date").parquet(path)
+def write_by_install_date(df: DataFrame, root: str) -> None:
+    write_by_month(df, root, "install_date", ("install_date",))
 
 
-def backfill_cohorts(fresh: DataFrame, target_path: str, as_of: dt.date,
+def backfill_cohorts(fresh: DataFrame, target_root: str, as_of: dt.date,
                      days: int = K.BACKFILL_DAYS) -> None:
-    """Replace the install_date partitions of the last ``days`` days with
-    ``fresh`` rows; older partitions are not touched."""
+    """Replace the rows of the last ``days`` days with ``fresh``'s; rows of
+    earlier dates stay, and the files of earlier months are not touched."""
+    spark = fresh.sparkSession
     since = backfill_since(as_of, days)
-    (fresh.where(F.col("install_date") >= F.lit(since))
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("install_date")
-     .parquet(target_path))
+    recent = F.col("install_date") >= F.lit(since)
+    keep, touched = _split(versions.parts(spark, target_root), since)
+    rows = fresh.where(recent)
+    if touched:
+        rows = versions.read(spark, target_root, only=touched).select(*fresh.columns).where(~recent).unionByName(rows)
+    versions.commit(spark, versions.stage_months(rows, target_root, "install_date", ("install_date",), keep))
 
 
-def read_by_install_date(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+def read_by_install_date(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
+    return versions.read(spark, root, like.schema).select(*like.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from burnlens.operators import quality
 from burnlens.session import scratch_path
 from burnlens.sources import schemas as S
+from burnlens.sources import versions
 from burnlens.streaming import incremental as inc
 
 T = dt.date(2024, 12, 10)
@@ -49,8 +50,8 @@ def test_incremental_equals_full_refresh_in_window(spark, models):
     inc.full_refresh(Models(raw).mart_creative_burnout, first)
     out = scratch_path(spark, "t_second")
     inc.incremental_burnout(spark, models.int_creative_daily_metrics, first, out)
-    since = inc.reprocess_since(spark.read.parquet(first))
-    got = spark.read.parquet(out).where(F.col("stat_date") >= F.lit(since))
+    since = inc.reprocess_since(versions.read(spark, first))
+    got = versions.read(spark, out).where(F.col("stat_date") >= F.lit(since))
     full = models.mart_creative_burnout.where(F.col("stat_date") >= F.lit(since))
     assert got.count() == full.count() > 0
     assert got.exceptAll(full.select(*got.columns)).count() == 0
@@ -172,15 +173,18 @@ def test_daily_job_runs_incrementally_on_previous_output(spark, models):
     raw = dict(models.raw)
     raw["ad_daily_stats"] = raw["ad_daily_stats"].where(F.col("stat_date") <= F.lit(T))
     day1 = scratch_path(spark, "t_day1")
-    refresh.materialise(spark, Models(raw), ("int_creative_daily_metrics",
-                                             "mart_creative_burnout"), day1)
+    def run(models, out, previous=None):
+        _, staged = refresh.materialise(spark, models, ("int_creative_daily_metrics", "mart_creative_burnout"), out, previous)
+        for s in staged.values():
+            versions.commit(spark, s)
+
+    run(Models(raw), day1)
     day2 = scratch_path(spark, "t_day2")
     fresh = Models(models.raw)
-    refresh.materialise(spark, fresh, ("int_creative_daily_metrics", "mart_creative_burnout"),
-                        day2, previous_root=day1)
-    prev = spark.read.parquet(f"{day1}/mart_creative_burnout")
+    run(fresh, day2, day1)
+    prev = versions.read(spark, f"{day1}/mart_creative_burnout")
     since = inc.reprocess_since(prev)
-    got = spark.read.parquet(f"{day2}/mart_creative_burnout")
+    got = versions.read(spark, f"{day2}/mart_creative_burnout")
     full = models.mart_creative_burnout
     recent = F.col("stat_date") >= F.lit(since)
     assert got.where(recent).exceptAll(full.where(recent).select(*got.columns)).count() == 0

@@ -1,0 +1,191 @@
+"""Versioned writes, the jobs, grains of the dashboard queries, ingest by name."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from burnlens import jobs
+from burnlens.operators import bi, cohort
+from burnlens.plans import refresh
+from burnlens.plans.models import RAW_TABLES, Models, load_raw
+from burnlens.session import require_shared_folder, scratch_path
+from burnlens.sources import files, versions
+from burnlens.sources import schemas as S
+from burnlens.streaming import incremental as inc
+
+D0 = dt.date(2024, 10, 1)
+
+
+def values(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+# ------------------------------------------------------------------- writes
+def test_a_failed_write_keeps_the_previous_version(spark):
+    root = scratch_path(spark, "t_failed")
+    files.write_replace(spark.range(5), root)
+    bad = spark.range(5).withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="no"):
+        files.write_replace(bad.select(F.col("id").cast("long").alias("id")), root)
+    assert values(files.read_table(spark, root)) == [(i,) for i in range(5)]
+    files.write_replace(files.read_table(spark, root).where("id < 2"), root)  # from itself
+    assert values(files.read_table(spark, root)) == [(0,), (1,)]
+
+
+def test_no_table_and_empty_table(spark):
+    root = scratch_path(spark, "t_none")
+    assert not versions.exists(spark, root)
+    with pytest.raises(versions.NoTable):
+        versions.read(spark, root)
+    empty = spark.createDataFrame([], "stat_date date, v int")
+    versions.commit(spark, versions.stage_months(empty, root, "stat_date"))
+    assert versions.read(spark, root, empty.schema).count() == 0
+
+
+def test_months_are_few_files_and_a_hot_month_is_split(spark):
+    root = scratch_path(spark, "t_months")
+    df = spark.range(0, 3000, 1, 16).select(F.date_add(F.lit(D0), (F.col("id") % 92).cast("int")).alias("stat_date"), "id")
+    versions.commit(spark, versions.stage_months(df, root, "stat_date", ("stat_date",)))
+    back = versions.read(spark, root, df.schema)
+    assert values(back) == values(df) and sorted(versions.parts(spark, root)) == ["202410", "202411", "202412"]
+    assert back.select(F.input_file_name()).distinct().count() <= 6
+
+
+def test_incremental_run_keeps_older_months_as_they_are(spark, models):
+    root = scratch_path(spark, "t_inc")
+    mart = models.mart_creative_burnout
+    inc.full_refresh(mart.where(F.col("stat_date") <= F.lit(dt.date(2024, 12, 20))), root)
+    before = versions.parts(spark, root)
+    inc.incremental_burnout(spark, models.int_creative_daily_metrics, root, root)
+    after = versions.parts(spark, root)
+    assert after["202410"] == before["202410"] and after["202411"] == before["202411"] and after["202412"] != before["202412"]
+    assert versions.read(spark, root).count() == mart.count()
+
+
+def test_backfill_drops_dates_that_vanish(spark):
+    days = [dt.date(2024, 10, 1), dt.date(2024, 11, 1), dt.date(2024, 11, 20), dt.date(2024, 12, 1), dt.date(2024, 12, 2)]
+    root = scratch_path(spark, "t_vanish")
+    schema = "install_date date, v int"
+    inc.write_by_install_date(spark.createDataFrame([(d, 1) for d in days], schema), root)
+    fresh = spark.createDataFrame([(days[0], 2), (days[3], 2)], schema)
+    inc.backfill_cohorts(fresh, root, dt.date(2024, 12, 31))  # window from 2024-11-16
+    assert values(inc.read_by_install_date(spark, root, fresh)) == [(days[0], 1), (days[1], 1), (days[3], 2)]
+
+
+# --------------------------------------------------------------------- jobs
+def test_refresh_twice_on_one_folder(spark, models):
+    out = scratch_path(spark, "t_twice")
+    held = dict(models.__dict__)
+    first = values(refresh.refresh_daily(spark, models, out, on_failure="publish"))
+    marts = {n: values(versions.read(spark, f"{out}/{n}")) for n in Models.MARTS}
+    assert values(refresh.refresh_daily(spark, models, out, on_failure="publish")) == first
+    assert {n: values(versions.read(spark, f"{out}/{n}")) for n in Models.MARTS} == marts
+    assert models.__dict__.keys() >= held.keys() and all(models.__dict__[k] is v for k, v in held.items())
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("burnlens_")]
+
+
+def test_failed_tests_commit_nothing(spark, models):
+    out = scratch_path(spark, "t_policy")
+    with pytest.raises(refresh.DataTestFailure, match="unique_iap_events_event_id"):
+        refresh.refresh_weekly(spark, models, out)
+    assert not any(versions.exists(spark, f"{out}/{n}") for n in refresh.WEEKLY)
+
+
+def test_daily_script_from_csv(spark, models, capsys):
+    csv, root = scratch_path(spark, "t_csv"), scratch_path(spark, "t_job")
+    key = {"skan_postbacks": "postback_id", "iap_events": "event_id"}
+    for t in RAW_TABLES:
+        df = models.raw[t].dropDuplicates([key[t]]) if t in key else models.raw[t]
+        df.select(*df.columns[::-1], F.lit("x").alias("note")).write.option("header", True).csv(f"{csv}/{t}")
+    args = ["daily", "--csv", csv, "--root", root, "--as-of", "2024-12-31"]
+    assert jobs.main(args, spark) == 0
+    said = capsys.readouterr().out
+    n = models.raw["ad_daily_stats"].count()
+    assert f"loaded ad_daily_stats: {n} rows" in said and "dq_failed_tests: 0" in said
+    first = values(versions.read(spark, f"{root}/models/mart_creative_burnout"))
+    assert first == values(models.mart_creative_burnout)
+    assert jobs.main(args, spark) == 0  # the second run is incremental
+    assert values(versions.read(spark, f"{root}/models/mart_creative_burnout")) == first
+    assert "loaded_at" in versions.read(spark, f"{root}/raw/campaigns").columns
+    assert jobs.main(["weekly", "--root", root, "--as-of", "2024-12-31"], spark) == 0
+
+
+def test_run_date_defaults_to_today(spark, models):
+    from burnlens.operators import staging
+    rows = spark.createDataFrame([("c", "n", "Meta", "o", "US", Decimal("1"), D0, e) for e in (None, dt.date(2024, 12, 31), dt.date(2999, 1, 1))], S.CAMPAIGNS)
+    assert sorted(r.is_active for r in staging.stg_campaigns(rows, Models({}).as_of).collect()) == sorted(
+        r.is_active for r in staging.stg_campaigns(rows, dt.date.today()).collect())
+
+
+def test_a_cluster_needs_a_shared_folder():
+    require_shared_folder("local[4]")
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            require_shared_folder(master)
+
+
+# ------------------------------------------------------------------- ingest
+def test_csv_columns_are_matched_by_name(spark, models):
+    cre = models.raw["creatives"]
+    path = scratch_path(spark, "t_byname")
+    cre.select("size", "creative_id", F.lit(1).alias("extra"), *[c for c in cre.columns if c not in ("size", "creative_id")]).write.option("header", True).csv(path)
+    assert values(files.read_raw_csv(spark, path, "creatives")) == values(cre)
+    short = scratch_path(spark, "t_missing")
+    cre.drop("size", "format").write.option("header", True).csv(short)
+    with pytest.raises(ValueError, match="no column format, size"):
+        files.read_raw_csv(spark, short, "creatives")
+
+
+# ------------------------------------------------------------------- grains
+@pytest.fixture(scope="module")
+def two_countries(spark, models):
+    """Every second ad row, postback and event of a campaign moves to another
+    country, so cohorts span countries and both postback versions."""
+    raw = dict(models.raw)
+    ads = raw["ad_daily_stats"]
+    raw["ad_daily_stats"] = ads.unionByName(ads.withColumn("country", F.lit("XX")))
+    raw["iap_events"] = raw["iap_events"].withColumn("country", F.when(F.hash("event_id") % 2 == 0, "XX").otherwise(F.col("country")))
+    return Models(raw, models.as_of)
+
+
+def test_revenue_rows_do_not_grow(two_countries):
+    m = two_countries
+    assert m.int_cohort_revenue.count() == m.int_daily_revenue.count()
+    assert m.int_cohort_installs.count() > cohort.cohort_totals(m.int_cohort_installs).count()
+
+
+def test_dashboard_totals_are_the_raw_totals(two_countries):
+    m = two_countries
+    total = lambda df, c: round(df.agg(F.sum(F.col(c).cast("decimal(18,4)"))).first()[0] or 0, 2)
+    revenue = total(m.stg_iap_events.where("is_revenue_event and days_since_install <= 30"), "revenue_usd")
+    assert total(bi.ltv_curve(m.int_cohort_installs, m.revenue_events).where("cohort_day = 30"), "revenue_usd") == revenue
+    known = m.stg_iap_events.join(m.int_cohort_installs.select("install_date", "network", "country").distinct(), ["install_date", "network", "country"], "left_semi")
+    spend = total(m.stg_ad_stats.where("installs > 0"), "spend_usd")
+    trend = bi.roas_trend(m.int_cohort_installs, m.revenue_events)
+    assert total(trend, "total_spend_usd") == spend
+    weekly = bi._weekly(m.int_cohort_installs, m.revenue_events)
+    assert total(weekly, "rev_d30") == total(known.where("is_revenue_event and days_since_install <= 30"), "revenue_usd")
+    installs = m.stg_ad_stats.agg(F.sum("installs")).first()[0]
+    cover = bi.coverage_trend(m.int_skan_cv_mapping, m.stg_ad_stats)
+    assert cover.agg(F.sum("mmp_installs")).first()[0] == installs
+    first = m.stg_skan_postbacks.where("postback_sequence = 1")
+    kpis = bi.skan_kpis(m.stg_skan_postbacks, m.stg_ad_stats).first()
+    assert kpis.skan_postbacks == first.count()
+    roas = float(total(first, "estimated_revenue_usd")) / float(total(m.stg_ad_stats, "spend_usd"))
+    assert abs(kpis.skan_roas - roas) < 1e-4
+    assert abs(kpis.avg_conversion_value - first.agg(F.avg("conversion_value")).first()[0]) < 1e-4
+
+
+# -------------------------------------------------------------------- order
+@pytest.mark.parametrize("name,key", [
+    ("sort_campaign_performance", lambda r: (-r.stat_date.toordinal(), -r.spend_usd)),
+    ("sort_cohort_analysis", lambda r: (r.install_date, r.network, r.country)),
+    ("sort_unit_economics", lambda r: (r.campaign_roas is None, -(r.campaign_roas or 0))),
+    ("sort_skan_attribution", lambda r: (-r.install_date.toordinal(), -r.spend_usd)),
+])
+def test_sorted_reports_are_in_order(spark, name, key):
+    from burnlens.registry import queries
+    rows = [key(r) for r in queries()[name](spark, "/root/testdata/sf0.001").collect()]
+    assert len(rows) > 1 and rows == sorted(rows)
