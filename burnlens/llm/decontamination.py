@@ -30,6 +30,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from burnlens.llm.common import (LETTER_GAPS, LOWER_VALUES, id_text, mix, span_h
                                  text_chunks, word_spans)
 
 BLOCK = 16                # words; a passage is two blocks
-COLUMNS, ROWS, RANK = 4096, 512, 64
+COLUMNS, ROWS, RANK = 4096, 256, 64
 COMMON = 0.05             # words in more than this share of passages weigh nothing
 COSINE = 0.6
 LCS_SURE, LCS_LIKELY, ANSWER_SHARE, ANSWER_FOUND = 0.75, 0.6, 0.25, 0.6
@@ -85,12 +86,26 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([df.tobytes()], pa.binary())], names=["rows", "df"])
 
 
+def _add(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return a[0] + b[0], a[1] + b[1]
+
+
 def sketch(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """(sketch ROWS x COLUMNS, passage frequency of each column, passages)."""
+    """(sketch ROWS x COLUMNS, passage frequency of each column, passages).
+
+    The tasks' sketches, of one fixed size, are added in a tree on the
+    executors; the driver gets the one sum."""
     parts = texts.mapInArrow(_sketch, "rows binary, df binary").rdd.map(
-        lambda r: (np.frombuffer(bytes(r["rows"]), np.float32).astype(np.float64), np.frombuffer(bytes(r["df"]), np.int64)))
-    zero = (np.zeros(ROWS * COLUMNS), np.zeros(COLUMNS + 1, np.int64))
-    rows, df = parts.treeAggregate(zero, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]), 3)
+        lambda r: (np.frombuffer(bytes(r["rows"]), np.float32), np.frombuffer(bytes(r["df"]), np.int64)))
+    n = parts.getNumPartitions()
+    while n > 1:
+        n = -(-n // 16)
+        parts = (parts.mapPartitionsWithIndex(lambda i, xs, n=n: ((i % n, x) for x in xs))
+                 .reduceByKey(_add, n).values())
+    got = parts.collect()
+    if not got:
+        return np.zeros((ROWS, COLUMNS), np.float32), np.zeros(COLUMNS, np.int64), 0
+    rows, df = reduce(_add, got)
     return rows.reshape(ROWS, COLUMNS), df[:COLUMNS], int(df[COLUMNS])
 
 
@@ -98,16 +113,15 @@ def latent_space(corpus: np.ndarray, items: np.ndarray, df: np.ndarray, passages
     """Latent vector (with idf) of each column: the leading right singular
     vectors of the idf-weighted sketch over the benchmark's rows, both sides
     of equal weight."""
-    idf = np.log((passages + 1) / (df + 1))
+    idf = np.log((passages + 1) / (df + 1)).astype(np.float32)
     idf[df > COMMON * passages + 1] = 0
-    a, b = corpus * idf, items * idf
-    na, nb = np.linalg.norm(a), np.linalg.norm(b)
-    stack = np.vstack([a / (na or 1), b / (nb or 1)])
-    w, u = np.linalg.eigh(stack @ stack.T)
+    sides = [x * idf for x in (corpus, items)]
+    stack = np.vstack([x / (np.linalg.norm(x) or 1) for x in sides])
+    w, u = np.linalg.eigh((stack @ stack.T).astype(np.float64))
     top = np.argsort(-w)[:rank]
-    top = top[w[top] > 1e-12]
-    v = stack.T @ (u[:, top] / np.sqrt(w[top]))
-    return (v * idf[:, None]).astype(np.float32)
+    top = top[w[top] > 1e-9]
+    v = stack.T @ (u[:, top] / np.sqrt(w[top])).astype(np.float32)
+    return v * idf[:, None]
 
 
 # ------------------------------------------------------------------- check
