@@ -42,18 +42,22 @@ def install_rows(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) ->
 
 def cohort_installs(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
     """int_cohort_installs; days with zero installs are dropped (their spend too)."""
-    return (
-        cohort_dims_join(ads, creatives, campaigns)
-        .groupBy(
-            F.col("stat_date").alias("install_date"), "campaign_id", "creative_id",
-            "network", "country", "objective", "format", "format_group",
-        )
+    facts = (
+        ads.where(F.col("installs") > 0)
+        .groupBy(F.col("stat_date").alias("install_date"), "campaign_id", "creative_id", "network", "country")
         .agg(
             F.sum("installs").alias("cohort_installs"),
             dsum("spend_usd").alias("cohort_spend_usd"),
             F.sum("clicks").alias("cohort_clicks"),
             F.sum("impressions").alias("cohort_impressions"),
         )
+    )
+    # The dimensions' text columns join the sums: they don't go through the shuffle.
+    return (
+        facts.join(campaigns.select("campaign_id", "objective"), "campaign_id")
+        .join(creatives.select("creative_id", "format", "format_group"), "creative_id")
+        .select("install_date", "campaign_id", "creative_id", "network", "country", "objective", "format", "format_group",
+                "cohort_installs", "cohort_spend_usd", "cohort_clicks", "cohort_impressions")
         .withColumn("cac_usd", rnd(ratio("cohort_spend_usd", "cohort_installs"), 4))
         .withColumn("install_cvr", rnd(ratio("cohort_installs", "cohort_clicks"), 6))
     )

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from burnlens import registry as E
 from conftest import SMOKE
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
@@ -74,3 +74,21 @@ def test_bucketed_metrics_feed_the_creative_models_without_shuffle(spark, models
     for df in (creative.creative_burnout(t), creative.peaks(t), creative.burnout_events(t)):
         assert shuffles(physical(df)) == 0
     assert t.exceptAll(models.int_creative_daily_metrics).count() == 0
+
+
+def test_quality_summary_copies_no_row(loaded):
+    from burnlens.operators import quality
+    plan = physical(quality.dq_summary(loaded.raw, loaded.mart_creative_burnout, loaded.stg_ad_stats))
+    assert "gid#" not in plan  # no Expand for distinct counts (unpivot expands one row)
+
+
+def test_raw_load_reads_its_input_once(spark, models):
+    """The raw write rebalances (no range sampling, which runs the input twice)."""
+    from burnlens.sources import versions
+    plan = physical(versions.rebalance(models.raw["iap_events"].withColumn("ym", models.raw["iap_events"].install_date.cast("string")), "ym"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "rangepartitioning" not in plan
+
+
+def test_dashboards_stay_off_the_cohort_join(spark):
+    for name in ("bi_arpu_heatmap", "bi_roas_trend", "bi_ltv_curve"):
+        assert shuffles(physical(E.queries()[name](spark, SMOKE))) <= 8, name
