@@ -34,6 +34,7 @@ empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -256,8 +257,7 @@ def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure:
     todo = nodes.select(F.col("id").alias("doc_id"))
     while True:
         order = last
-        rows = chosen(texts, todo).dropDuplicates(["doc_id"]) if len(last) else texts.join(todo, "doc_id", "left_semi") if todo.count() > BROADCAST_IDS else chosen(texts, todo)
-        lists = rows.mapInArrow(lambda b, o=order: _prefixes(b, words, measure, o), "doc_id long, n int, grams array<long>")
+        lists = chosen(texts, todo).mapInArrow(lambda b, o=order: _prefixes(b, words, measure, o), "doc_id long, n int, grams array<long>")
         posted = lists.select("doc_id", "n", F.posexplode("grams").alias("at", "gram"))
         several = posted.groupBy("gram").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x != y").select("gram")
         kept = (posted.join(several, "gram")
@@ -268,15 +268,11 @@ def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure:
                   .where("x != y").select("gram", "size"))
         spread = materialise(spread, "grams")
         new = spread.where(F.col("size") > light).select("gram")
-        n_new = new.count()
-        stuck = False
-        if n_new:
-            if n_new + len(last) > BROADCAST_GRAMS:
-                stuck = True  # too many to hold: pair them here
-            else:
-                found = np.array([r["gram"] for r in new.collect()], np.int64).view(np.uint64)
-                stuck = bool(np.isin(found, last).any())  # nothing rarer is left in some sets
-                last = np.unique(np.concatenate([last, found]))
+        found = np.array([r["gram"] for r in new.limit(BROADCAST_GRAMS + 1).collect()], np.int64).view(np.uint64)
+        n_new = len(found)
+        # Paired here: too many to hold, or nothing rarer is left in some sets.
+        stuck = n_new + len(last) > BROADCAST_GRAMS or bool(np.isin(found, last).any())
+        last = np.unique(np.concatenate([last, found]))
         use = spread.select("gram") if stuck else spread.where(F.col("size") <= light).select("gram")
         lists = kept.join(use, "gram")
         left = lists.select("gram", *(F.col(c).alias(c + "1") for c in ("doc_id", "n", "at", "component")))
@@ -300,12 +296,9 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
     same = info.where("n > 0").groupBy("fp", "fp2", "n").agg(F.min("doc_id").alias("id"), F.first("mins").alias("mins"))
     nodes = materialise(same, "nodes")
     links = materialise(verified(star_pairs(nodes, measure), texts, measure, words), "star_links")
-    parts = components(links)
-    for pairs in prefix_pairs(texts, nodes, parts, measure, words):
-        more = materialise(verified(pairs, texts, measure, words), "links_more")
-        if more.head(1):
-            links = links.unionByName(more)
-            parts = components(links)
+    steps = [materialise(pairs, "prefix_pairs") for pairs in prefix_pairs(texts, nodes, components(links), measure, words)]
+    more = verified(reduce(DataFrame.unionByName, steps), texts, measure, words)
+    parts = components(links.unionByName(more))
     named = nodes.select("fp", "fp2", F.col("n").alias("n_"), "id").join(parts, "id", "left").select(
         "fp", "fp2", "n_", F.coalesce("component", "id").alias("component"))
     out = info.join(named, (info["fp"] == named["fp"]) & (info["fp2"] == named["fp2"]) & (info["n"] == named["n_"]), "left")
