@@ -7,7 +7,8 @@ scheduled jobs do. Each query runs to completion through the ``noop`` sink,
 so the full plan executes and nothing is collected to the driver. Each
 headline query runs twice in the same session; ``queries`` holds the second
 (warm) time, ``cold`` the first. ``refresh_daily`` is the whole daily job
-(every intermediate and mart written and read back, then the 25 tests).
+(every intermediate and mart written and read back, then the 25 tests). The
+headline value is load + warm queries + daily job; ``totals`` has each.
 """
 
 from __future__ import annotations
@@ -75,16 +76,18 @@ def main() -> None:
             (cold if attempt == 0 else times)[name] = time.perf_counter() - t0
 
     t0 = time.perf_counter()
-    run(refresh.refresh_daily(spark, models(), scratch_path(spark, "bench_daily")))
+    run(refresh.refresh_daily(spark, models(), scratch_path(spark, "bench_daily"), on_failure="publish"))
     times["refresh_daily"] = time.perf_counter() - t0
 
-    total = sum(v for k, v in times.items() if k != "load_raw" and k != "refresh_daily")
+    warm = sum(times[k] for k in suite)
     print(json.dumps({
-        "metric": "headline_queries_total",
-        "value": round(total, 3),
+        "metric": "headline_total",
+        "value": round(warm + times["load_raw"] + times["refresh_daily"], 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
         "cold": {k: round(v, 3) for k, v in cold.items()},
+        "totals": {"warm_queries": round(warm, 3), "cold_queries": round(sum(cold.values()), 3),
+                   "load_raw": round(times["load_raw"], 3), "refresh_daily": round(times["refresh_daily"], 3)},
         "sf": _sf_number(SF_DIR),
         "cpus": int(CPUS),
     }))
