@@ -253,7 +253,7 @@ def _prefixes(batches: Iterable[pa.RecordBatch], words: int, measure: Measure, l
 def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure: Measure, words: int = WORDS, light: int = LIGHT) -> Iterator[DataFrame]:
     """Candidate (a, b) in different components, a table per step (see 3.).
     ``nodes``: id (the documents to join); ``parts``: id, component."""
-    last = np.zeros(0, np.uint64)
+    last, demoted = np.zeros(0, np.uint64), None
     todo = nodes.select(F.col("id").alias("doc_id"))
     while True:
         order = last
@@ -267,13 +267,13 @@ def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure:
         spread = (kept.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size"))
                   .where("x != y").select("gram", "size"))
         spread = materialise(spread, "grams")
-        new = spread.where(F.col("size") > light).select("gram")
+        heavy = spread.where(F.col("size") > light).select("gram")
+        new = heavy if demoted is None else heavy.join(demoted, "gram", "left_anti")
         found = np.array([r["gram"] for r in new.limit(BROADCAST_GRAMS + 1).collect()], np.int64).view(np.uint64)
-        n_new = len(found)
-        # Paired here: too many to hold, or nothing rarer is left in some sets.
-        stuck = n_new + len(last) > BROADCAST_GRAMS or bool(np.isin(found, last).any())
-        last = np.unique(np.concatenate([last, found]))
-        use = spread.select("gram") if stuck else spread.where(F.col("size") <= light).select("gram")
+        # N-grams that were put last before are paired now (their sets have
+        # nothing rarer left), and so are all if there are too many to hold.
+        full = len(found) + len(last) > BROADCAST_GRAMS
+        use = spread.select("gram") if full else spread.select("gram").join(new, "gram", "left_anti")
         lists = kept.join(use, "gram")
         left = lists.select("gram", *(F.col(c).alias(c + "1") for c in ("doc_id", "n", "at", "component")))
         right = lists.select("gram", *(F.col(c).alias(c + "2") for c in ("doc_id", "n", "at", "component")))
@@ -283,8 +283,10 @@ def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure:
                .where((F.col("doc_id1") < F.col("doc_id2")) & (F.col("component1") != F.col("component2"))
                       & measure.sizes(n1, n2) & ((100 + measure.percent) * bound >= measure.percent * (n1 + n2)))
                .select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")))
-        if stuck or not n_new:
+        if full or not len(found):
             return
+        last = np.unique(np.concatenate([last, found]))
+        demoted = new if demoted is None else demoted.unionByName(new)
         todo = materialise(kept.join(new, "gram", "left_semi").select("doc_id").distinct(), "again")
 
 
