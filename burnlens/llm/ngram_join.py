@@ -233,8 +233,9 @@ def star_pairs(nodes: DataFrame, measure: Measure) -> DataFrame:
             .select(F.col("id").alias("a"), F.col("c.id").alias("b")).distinct())
 
 
-def _prefixes(batches: Iterable[pa.RecordBatch], words: int, measure: Measure, last: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Prefix n-grams with their positions; n-grams in ``last`` (sorted) come after all others."""
+def _prefixes(batches: Iterable[pa.RecordBatch], words: int, measure: Measure, last: np.ndarray, times: int) -> Iterator[pa.RecordBatch]:
+    """The first n-grams of each set, ``times`` as many as its prefix has (size
+    p); n-grams in ``last`` (sorted) come after all others."""
     for rows, data, off in text_chunks(batches):
         g, at = gram_sets(data, off, words)
         n = np.diff(at)
@@ -243,22 +244,24 @@ def _prefixes(batches: Iterable[pa.RecordBatch], words: int, measure: Measure, l
             own = np.repeat(np.arange(len(n)), n)
             g = g[np.lexsort((g, heavy, own))]
         p = np.minimum(measure.prefix(n), n)
+        size, p = p, np.minimum(times * p, n)
         first = np.concatenate([[0], np.cumsum(p)])
         take = np.arange(first[-1]) + np.repeat(at[:-1] - first[:-1], p)
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), pa.array(n.astype(np.int32)), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), _signed(g[take]))],
-            names=["doc_id", "n", "grams"])
+            [rows.column(0), pa.array(n.astype(np.int32)), pa.array(size.astype(np.int32)),
+             pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), _signed(g[take]))],
+            names=["doc_id", "n", "p", "grams"])
 
 
 def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure: Measure, words: int = WORDS, light: int = LIGHT) -> Iterator[DataFrame]:
     """Candidate (a, b) in different components, a table per step (see 3.).
     ``nodes``: id (the documents to join); ``parts``: id, component."""
-    last, demoted = np.zeros(0, np.uint64), None
+    last, demoted, times = np.zeros(0, np.uint64), None, 1
     todo = nodes.select(F.col("id").alias("doc_id"))
     while True:
         order = last
-        lists = chosen(texts, todo).mapInArrow(lambda b, o=order: _prefixes(b, words, measure, o), "doc_id long, n int, grams array<long>")
-        posted = lists.select("doc_id", "n", F.posexplode("grams").alias("at", "gram"))
+        lists = chosen(texts, todo).mapInArrow(lambda b, o=order, k=times: _prefixes(b, words, measure, o, k), "doc_id long, n int, p int, grams array<long>")
+        posted = lists.select("doc_id", "n", "p", F.posexplode("grams").alias("at", "gram"))
         several = posted.groupBy("gram").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x != y").select("gram")
         kept = (posted.join(several, "gram")
                 .join(parts.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
@@ -268,13 +271,13 @@ def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure:
                   .where("x != y").select("gram", "size"))
         spread = materialise(spread, "grams")
         heavy = spread.where(F.col("size") > light).select("gram")
-        new = heavy if demoted is None else heavy.join(demoted, "gram", "left_anti")
+        new = materialise(heavy if demoted is None else heavy.join(demoted, "gram", "left_anti"), "frequent")
         found = np.array([r["gram"] for r in new.limit(BROADCAST_GRAMS + 1).collect()], np.int64).view(np.uint64)
         # N-grams that were put last before are paired now (their sets have
         # nothing rarer left), and so are all if there are too many to hold.
         full = len(found) + len(last) > BROADCAST_GRAMS
         use = spread.select("gram") if full else spread.select("gram").join(new, "gram", "left_anti")
-        lists = kept.join(use, "gram")
+        lists = kept.where(F.col("at") < F.col("p")).join(use, "gram")
         left = lists.select("gram", *(F.col(c).alias(c + "1") for c in ("doc_id", "n", "at", "component")))
         right = lists.select("gram", *(F.col(c).alias(c + "2") for c in ("doc_id", "n", "at", "component")))
         n1, n2, i, j = F.col("n1"), F.col("n2"), F.col("at1"), F.col("at2")
@@ -287,7 +290,10 @@ def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure:
             return
         last = np.unique(np.concatenate([last, found]))
         demoted = new if demoted is None else demoted.unionByName(new)
-        todo = materialise(kept.join(new, "gram", "left_semi").select("doc_id").distinct(), "again")
+        # Only sets with such n-grams in the prefix itself go on; of those, four
+        # times as many n-grams are counted, so that few steps find them all.
+        todo = materialise(kept.where(F.col("at") < F.col("p")).join(new, "gram", "left_semi").select("doc_id").distinct(), "again")
+        times *= 4
 
 
 def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
