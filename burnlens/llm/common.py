@@ -147,6 +147,13 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values:
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of a sequence of hashes, by its values and their order."""
+    up, down = _powers(len(values) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[:len(values)], dtype=np.uint64)])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the k words from each position of each text, in order, and the
     bounds by text. Texts of fewer than k words (but one at least) have one
