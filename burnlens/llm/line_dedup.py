@@ -1,9 +1,12 @@
 """Line dedup by pairwise alignment (operator 2).
 
-Every line is hashed; a line's first holder is the document of least id that
-has it. A later document is paired with the first holders of its lines, so a
-line costs one pair per document however frequent it is, and the first holder
-of a line never loses it. Pairs that share too few words to hold a block are
+Every line is hashed, and from each line the shortest run of adjacent lines that
+has BLOCK_WORDS words; the first holder of a line or run is the document of
+least id that has it. A later document is paired with the first holders of its
+lines and runs, so each costs one pair per document however frequent it is, and
+the first holder of a line never loses it. A block that an earlier document has
+begins with such a run, so its later holders are paired with a document that
+holds that run, also where each of its lines was first held elsewhere. Pairs that share too few words to hold a block are
 dropped; the others are aligned with patience diff (lines unique on both sides
 are anchors, the longest increasing run of them is kept, the gaps between are
 aligned in the same way). Runs of aligned lines of at least BLOCK_WORDS words
@@ -29,26 +32,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from burnlens.llm.common import id_text, line_spans, materialise, span_hashes, text_chunks, word_spans
+from burnlens.llm.common import id_text, line_spans, materialise, run_hashes, span_hashes, text_chunks, word_spans
 
 BLOCK_WORDS = 10
 
 
-def _lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lines(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for rows, data, off in text_chunks(batches):
         starts, ends, bounds = line_spans(data, off)
         word_starts, _, _ = word_spans(data, off)
         words = np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts)
-        h = span_hashes(data, starts, ends).view(np.int64)
+        h = span_hashes(data, starts, ends)
+        total = np.concatenate([[0], np.cumsum(words)])
+        last = np.searchsorted(total, total[:-1] + least)  # the end of the shortest run from each line
+        own = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        run = np.flatnonzero((words > 0) & (words < least) & (last <= bounds[own + 1]))
+        run_at = np.searchsorted(run, bounds)
         at = pa.array(bounds.astype(np.int32))
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), pa.ListArray.from_arrays(at, pa.array(h)), pa.ListArray.from_arrays(at, pa.array(words.astype(np.int32)))],
-            names=["doc_id", "lines", "words"])
+            [rows.column(0), pa.ListArray.from_arrays(at, pa.array(h.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(words.astype(np.int32))),
+             pa.ListArray.from_arrays(pa.array(run_at.astype(np.int32)), pa.array(run_hashes(h, run, last[run]).view(np.int64)))],
+            names=["doc_id", "lines", "words", "runs"])
 
 
-def hashed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, lines (hashes, in order), words (of each line)."""
-    return id_text(docs).mapInArrow(_lines, "doc_id long, lines array<long>, words array<int>")
+def hashed_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, lines (hashes, in order), words (of each line), runs (hashes of
+    the shortest runs of two lines or more that have ``least`` words)."""
+    return id_text(docs).mapInArrow(lambda b: _lines(b, least), "doc_id long, lines array<long>, words array<int>, runs array<long>")
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -143,8 +153,9 @@ def _align(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
 
 def removals(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, places: the lines (from 0) to delete, for documents that lose any."""
-    lines = materialise(hashed_lines(docs).where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]), "lines")
-    each = lines.select("doc_id", F.explode(F.array_distinct(F.arrays_zip(F.col("lines").alias("h"), F.col("words").alias("n")))).alias("x"))
+    lines = materialise(hashed_lines(docs, least).where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]), "lines")
+    runs = F.transform("runs", lambda h: F.struct(h.alias("h"), F.lit(least).alias("n")))
+    each = lines.select("doc_id", F.explode(F.array_distinct(F.concat(F.arrays_zip(F.col("lines").alias("h"), F.col("words").alias("n")), runs))).alias("x"))
     each = each.select("doc_id", F.col("x.h").alias("h"), F.col("x.n").alias("n")).where("n > 0")
     holder = each.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("final")).where("first < final").select("h", "first")
     pairs = (each.join(holder, "h").where("first < doc_id").groupBy("doc_id", "first")

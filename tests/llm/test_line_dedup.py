@@ -43,6 +43,15 @@ def test_blocks_go_from_the_later_document(make_docs):
     assert out[5][2] == out[6][2] == 0  # a block too short
 
 
+def test_a_block_whose_lines_were_first_held_apart(make_docs):
+    a, b = "six words are in this line", "and five are in this"
+    docs = make_docs([(1, a + "\nsomething else"), (2, "another thing\n" + b), (3, f"x\n{a}\n{b}\ny"), (4, f"z\n{a}\n{b}\nw"),
+                      (5, f"{a}\n\n{b}"), (6, f"q\n{a}\n\n{b}")])
+    out = {i: (t, gone) for i, t, _, gone, _ in result(docs)}
+    assert out[4] == ("z\nw", 2) and out[6] == ("q", 3)
+    assert all(out[i][1] == 0 for i in (1, 2, 3, 5))
+
+
 def test_every_line_survives_in_its_first_holder(data):
     docs = data("documents")
     before = {r.doc_id: (r.text or "").split("\n") for r in docs.collect()}
