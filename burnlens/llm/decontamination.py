@@ -42,7 +42,8 @@ from burnlens.llm.common import (LETTER_GAPS, LOWER_VALUES, id_text, mix, span_h
 
 BLOCK = 16                # words; a passage is two blocks
 COLUMNS, ROWS, RANK = 4096, 256, 64
-COMMON = 0.05             # words in more than this share of passages weigh nothing
+COMMON = 0.05             # words in more than this share of passages weigh nothing, unless an item has them
+LEAST_IDF = 0.1           # of a word that an item has
 COSINE = 0.6
 LCS_SURE, LCS_LIKELY, ANSWER_SHARE, ANSWER_FOUND = 0.75, 0.6, 0.25, 0.6
 ITEMS_AT_ONCE = 20_000
@@ -109,12 +110,13 @@ def sketch(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     return rows.reshape(ROWS, COLUMNS), df[:COLUMNS], int(df[COLUMNS])
 
 
-def latent_space(corpus: np.ndarray, items: np.ndarray, df: np.ndarray, passages: int, rank: int = RANK) -> np.ndarray:
+def latent_space(corpus: np.ndarray, items: np.ndarray, df: np.ndarray, passages: int, wanted: np.ndarray, rank: int = RANK) -> np.ndarray:
     """Latent vector (with idf) of each column: the leading right singular
     vectors of the idf-weighted sketch over the benchmark's rows, both sides
-    of equal weight."""
+    of equal weight. ``wanted`` (columns that items have) keep a weight however
+    frequent: copies of a leak make all words of its item frequent."""
     idf = np.log((passages + 1) / (df + 1)).astype(np.float32)
-    idf[df > COMMON * passages + 1] = 0
+    idf = np.where(wanted, np.maximum(idf, LEAST_IDF), np.where(df > COMMON * passages + 1, 0, idf)).astype(np.float32)
     sides = [x * idf for x in (corpus, items)]
     stack = np.vstack([x / (np.linalg.norm(x) or 1) for x in sides])
     w, u = np.linalg.eigh((stack @ stack.T).astype(np.float64))
@@ -255,7 +257,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts, queries = id_text(docs), id_text(benchmark, "item_id")
     corpus, df, passages = sketch(texts)
     wanted, item_df, item_passages = sketch(queries)
-    space = latent_space(corpus, wanted, df + item_df, passages + item_passages)
+    space = latent_space(corpus, wanted, df + item_df, passages + item_passages, item_df > 0)
     out = None
     for ids, h, bounds in item_blocks(queries):
         filled = np.flatnonzero(np.diff(bounds))

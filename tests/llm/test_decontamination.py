@@ -38,6 +38,13 @@ def test_paraphrases_and_clean_documents(spark, make_docs):
     assert sum((i, i) in got for i in range(20)) >= 18 and not [p for p in got if p[0] >= 50]
 
 
+def test_a_leak_copied_to_a_third_of_the_rows(spark, make_docs):
+    leak = prose(7, 40)
+    copies = [(i, prose(50, 20) + " " + leak + " " + prose(51, 20)) for i in range(40)]
+    got = pairs(make_docs(copies + [(100 + i, prose(1000 + i, 80)) for i in range(80)]), items(spark, [(1, leak), (2, prose(8, 40))]))
+    assert got == {(i, 1) for i in range(40)}
+
+
 def test_lcs_is_exact():
     r = random.Random(5)
     for _ in range(100):
