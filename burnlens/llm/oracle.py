@@ -95,4 +95,55 @@ QUALIFY row_number() OVER (PARTITION BY k, license ORDER BY dice DESC, pos, size
 """
 
 
-ORACLE_SQL = {"op4_quality_rules": OP4, "op6_ngram_jaccard_join": OP6, "op9_warc_archive": OP9, "op10_license_scan": op10()}
+def op11(rounds: int = 2) -> str:
+    """Codebooks and assignments round by round."""
+    ctes = ["""
+k AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+      WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT r, vec_id, label, pos, q[pos * len(q) // 16 + 1:(pos + 1) * len(q) // 16] AS v FROM k, range(16) AS t(pos)),
+c0 AS (SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS e, v FROM p
+       WHERE vec_id IN (SELECT DISTINCT vec_id FROM k ORDER BY vec_id LIMIT 64))"""]
+    for t in range(rounds + 1):
+        ctes.append(f"""
+d{t} AS (SELECT r, vec_id, label, p.pos, e, p.v, list_sum(list_transform(list_zip(p.v, c{t}.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM p JOIN c{t} ON p.pos = c{t}.pos),
+a{t} AS (SELECT * FROM d{t} QUALIFY row_number() OVER (PARTITION BY r, pos ORDER BY d, e) = 1)""")
+        if t < rounds:
+            ctes.append(f"""
+m{t} AS (SELECT pos, e, i, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x
+        FROM (SELECT pos, e, unnest(v) AS x, unnest(range(len(v))) AS i FROM a{t}) GROUP BY pos, e, i),
+u{t} AS (SELECT pos, e, list(x ORDER BY i) AS v FROM m{t} GROUP BY pos, e),
+c{t + 1} AS (SELECT pos, e, coalesce(u{t}.v, c{t}.v) AS v FROM c{t} LEFT JOIN u{t} USING (pos, e))""")
+    return "WITH" + ",".join(ctes) + f""",
+f AS (SELECT r, vec_id, label, string_agg(printf('%02x', e), '' ORDER BY pos) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY r, vec_id, label),
+b AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY pos, e)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM f, b
+"""
+
+
+OP12 = r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             concat(CASE WHEN len(words) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+                    CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 'C' END,
+                    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END) AS fails
+      FROM w LEFT JOIN l USING (doc_id)),
+n AS (SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM m GROUP BY part, fails),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT part, filter_order, step, filter_order[step] AS own, fails, n, good, toxic, contains(fails, filter_order[step]) AS hit,
+             translate(filter_order[1:step - 1], fails, '') <> filter_order[1:step - 1] AS gone FROM n, o, range(1, 6) AS t(step)),
+r AS (SELECT part, filter_order, step::INTEGER AS step, own, coalesce(sum(n) FILTER (WHERE NOT hit AND NOT gone), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (WHERE hit AND gone), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (WHERE fails = own), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER (WHERE hit AND NOT gone), 0)::BIGINT AS good_lost,
+             coalesce(sum(toxic) FILTER (WHERE hit AND NOT gone), 0)::BIGINT AS toxic_lost
+      FROM s GROUP BY part, filter_order, step, own)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r
+"""
+
+
+ORACLE_SQL = {"op4_quality_rules": OP4, "op6_ngram_jaccard_join": OP6, "op9_warc_archive": OP9, "op10_license_scan": op10(),
+              "op11_vector_codes": op11(), "op12_filter_audit": OP12}

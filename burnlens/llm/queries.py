@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import archive, classifier, decontamination, extraction, licenses, line_dedup, ngram_join, packing, quality_rules, substring_dedup
+from burnlens.llm import (archive, classifier, decontamination, extraction, filter_audit, licenses, line_dedup, mixing, ngram_join, packing,
+                          quality_rules, substring_dedup, vector_codes)
 from burnlens.llm.common import table
 from burnlens.llm.oracle import ORACLE_SQL
 
@@ -70,3 +71,18 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
