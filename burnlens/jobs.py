@@ -1,9 +1,17 @@
 """The scheduled jobs as a script:
 
-    spark-submit burnlens/jobs.py daily --csv DIR --root DIR [--as-of YYYY-MM-DD]
-    spark-submit burnlens/jobs.py weekly --root DIR [--as-of YYYY-MM-DD]
+    spark-submit burnlens/jobs.py daily --csv DIR [--root DIR] [--name NAME] [--as-of YYYY-MM-DD]
+    spark-submit burnlens/jobs.py weekly [--root DIR] [--name NAME] [--as-of YYYY-MM-DD]
+    spark-submit burnlens/jobs.py backfill [--root DIR] [--name NAME] [--as-of YYYY-MM-DD] [--days N]
 
-Exit status 1 when a data test failed (the tables are then left as they were).
+``daily`` loads the CSV files and brings all models up to date; ``weekly``
+rebuilds the cohort and creative models; ``backfill`` replaces the cohorts installed
+in the last days. Tables are in the databases NAME_raw and NAME_models of the session's
+catalogue, their files under ``--root`` (default: the warehouse). A daily run goes on from the one before if the
+catalogue still knows its tables, so scheduled runs need a catalogue that outlives them.
+
+Prints the rows of each model and the seconds it took. Exit status 1 when a
+data test failed (the tables are then left as they were).
 """
 
 from __future__ import annotations
@@ -14,14 +22,18 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from burnlens.functions import constants as K
 from burnlens.plans import refresh
+from burnlens.sources import tables
 
 
 def main(args: list[str], spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="burnlens.jobs")
-    p.add_argument("job", choices=("daily", "weekly"))
+    p.add_argument("job", choices=("daily", "weekly", "backfill"))
     p.add_argument("--csv", help="folder with a folder of CSV files for each raw table (daily)")
-    p.add_argument("--root", required=True, help="folder of the loaded tables and the models")
+    p.add_argument("--root", help="folder of the tables' files (when the databases are created)")
+    p.add_argument("--name", default="burnlens", help="prefix of the databases")
+    p.add_argument("--days", type=int, default=K.BACKFILL_DAYS, help="days of a backfill")
     p.add_argument("--as-of", type=dt.date.fromisoformat, help="run date (default: the current date)")
     p.add_argument("--on-failure", choices=("raise", "publish"), default="raise")
     a = p.parse_args(args)
@@ -30,16 +42,21 @@ def main(args: list[str], spark: SparkSession | None = None) -> int:
     spark = spark or SparkSession.builder.appName(f"burnlens-{a.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
         if a.job == "daily":
-            loaded, summary = refresh.run_daily(spark, a.csv, a.root, a.as_of, a.on_failure)
+            loaded, summary = refresh.run_daily(spark, a.csv, a.name, a.as_of, a.on_failure, a.root)
             for r in loaded.collect():
                 print(f"loaded {r['table_name']}: {r['row_count']} rows")
+        elif a.job == "weekly":
+            summary = refresh.run_weekly(spark, a.name, a.as_of, a.on_failure, a.root)
         else:
-            summary = refresh.run_weekly(spark, a.root, a.as_of, a.on_failure)
+            summary = refresh.run_backfill(spark, a.name, a.as_of or dt.date.today(), a.days, a.root)
     except refresh.DataTestFailure as e:
         print(f"data tests failed: {e}", file=sys.stderr)
         return 1
     for r in summary.collect():
         print(f"{r['model']}: {r['row_count']}")
+    if a.job != "backfill":
+        for r in tables.read(spark, f"{a.name}_models.run_seconds").collect():  # a row a model
+            print(f"seconds {r['model']}: {r['seconds']}")
     return 0
 
 

@@ -173,8 +173,13 @@ def creative_burnout(
         F.min(F.when(crossed, dol)).over(per_creative).alias("burnout_day_of_life"),
         F.min(best_cpi_input).over(per_creative).alias("best_cpi"),
     )
-    if since is not None:
-        d = d.where(in_window)
+    return finish_burnout(d if since is None else d.where(in_window))
+
+
+def finish_burnout(d: DataFrame) -> DataFrame:
+    """The mart's columns, from metric rows with their creative's peak, burnout
+    and best CPI."""
+    ctr7, dol = F.col("ctr_7d_avg"), F.col("day_of_life")
     peak, bdate = F.col("absolute_peak_ctr"), F.col("burnout_date")
     post = bdate.isNotNull() & (F.col("stat_date") >= bdate)
     return d.select(

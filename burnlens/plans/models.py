@@ -7,10 +7,11 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from burnlens.operators import campaign, cohort, creative, skan, staging
-from burnlens.sources import adapter, files
+from burnlens.operators import campaign, cohort, creative, quality, skan, staging
+from burnlens.sources import adapter, files, tables
 
 RAW_TABLES = ("campaigns", "creatives", "ad_daily_stats", "skan_postbacks", "iap_events")
 
@@ -26,20 +27,27 @@ class Models:
         self.raw = raw
         self.as_of = as_of
         self.denominator = denominator
+        self.database: str | None = None  # where the raw tables were loaded
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF, **kw) -> "Models":
         return cls(adapter.raw_tables(spark, sf_dir), as_of=as_of, **kw)
 
     @classmethod
-    def from_raw_files(cls, spark: SparkSession, root: str, since: dt.date | None = None,
-                       **kw) -> "Models":
-        """Raw tables as loaded by ``load_raw`` (typed parquet under ``root``).
-        ``since`` restricts the facts to rows dated on or after it (partition
-        pruning); only models keyed by that date are then complete."""
-        return cls({t: files.read_raw_table(spark, f"{root}/{t}", t, since) for t in RAW_TABLES},
-                   **kw)
-
+    def from_tables(cls, spark: SparkSession, database: str, since: dt.date | None = None, **kw) -> "Models":
+        """Raw tables as loaded by ``load_raw`` into ``database``. ``since``
+        restricts the facts to rows dated on or after it (partition pruning);
+        only models keyed by that date are then complete."""
+        out = cls({t: files.read_raw_table(spark, database, t, since) for t in RAW_TABLES}, **kw)
+        out.database = database
+        return out
+
+    def ads_since(self, since: dt.date) -> DataFrame:
+        """Staged ad rows dated on or after ``since``; of loaded tables only those months are read."""
+        raw = self.raw["ad_daily_stats"]
+        if self.database is not None:
+            raw = files.read_raw_table(raw.sparkSession, self.database, "ad_daily_stats", since)
+        return staging.stg_ad_stats(raw.where(F.col("stat_date") >= F.lit(since)))
 
     # ------------------------------------------------------------- staging
     @cached_property
@@ -142,9 +150,35 @@ class Models:
     )
 
 
-def load_raw(raw: dict[str, DataFrame], root: str) -> None:
+LOAD_TESTS = "load_tests"
+
+
+def load_raw(raw: dict[str, DataFrame], database: str) -> None:
     """Ingest: write each raw table with its layout (month partitions for the
     facts, sort key within files) and the time of the load. Idempotent: every
-    table is replaced by a new version."""
-    for t in RAW_TABLES:
-        files.write_raw_table(files.with_loaded_at(raw[t]), f"{root}/{t}", t)
+    table is replaced by a new version, and all are published together at the
+    end. The row tests are counted by the writing tasks (``load_tests``: table_name, test_name,
+    n_rows), so the data tests need no scan for them."""
+    spark = raw[RAW_TABLES[0]].sparkSession
+    staged, counted = [], []
+    try:
+        for t in RAW_TABLES:
+            seen = Observation(f"load_{t}")
+            staged.append(tables.stage(files.with_loaded_at(raw[t]), f"{database}.{t}", files.raw_layout(t),
+                                       observe=(seen, quality.row_metrics(t))))
+            counted += [(t, name, n) for name, n in seen.get.items()]
+        staged.append(tables.stage(spark.createDataFrame(counted, "table_name string, test_name string, n_rows long").coalesce(1),
+                                   f"{database}.{LOAD_TESTS}"))
+    except BaseException:
+        for s in staged:
+            tables.discard(spark, s)
+        raise
+    for s in staged:
+        tables.publish(spark, s)
+
+
+def load_tests(spark: SparkSession, database: str | None) -> dict[str, int] | None:
+    """Rows that failed each row test of the last load; None if there was none."""
+    if database is None or not tables.exists(spark, f"{database}.{LOAD_TESTS}"):
+        return None
+    return {r["test_name"]: r["n_rows"] for r in tables.read(spark, f"{database}.{LOAD_TESTS}").collect()}  # one row a test

@@ -4,13 +4,18 @@
 materialised in dependency order, then the data tests. ``refresh_weekly``:
 the cohort models, the cohort marts and the burnout mart, then the tests.
 
-Each materialised model is written as a new version of its table and read back,
-and the models downstream of it read the written files: the lineage is cut at
+Each materialised model is written as a new version of its catalogue table, and
+the models downstream of it read the written version: the lineage is cut at
 every layer, so a lost executor recomputes one layer, not the whole graph. The
-daily metrics are written bucketed by creative_id, so the three models that
+daily metrics are bucketed by creative_id, so the three models that
 read them (peaks, burnout events, burnout mart) run without a shuffle.
 
-The versions are committed only after the data tests: with ``on_failure="raise"``
+A daily run after another one is incremental for the creative models: it reads the
+state of each creative (``operators.creative_state``) as it was 14 days before
+the last date, and the ad rows since then, and writes only the months that these
+touch. Without a state, or when a creative's launch date changed, it is a full run.
+
+The versions are published only after the data tests: with ``on_failure="raise"``
 a failed test leaves every table as it was. Runs are repeatable; the caller's
 Models are not changed.
 """
@@ -18,28 +23,35 @@ Models are not changed.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
-import uuid
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnlens.operators import quality
-from burnlens.plans.models import RAW_TABLES, Models, load_raw
-from burnlens.sources import files, versions
-from burnlens.streaming.incremental import stage_incremental_burnout
-
-# Materialised models that are bucketed by the key all their readers group,
-# window or join on, with the sort order and the number of buckets: peaks,
-# burnout events and the burnout mart read the daily metrics without a shuffle.
-BUCKETED = {"int_creative_daily_metrics": ("creative_id", ("creative_id", "stat_date"), 16)}
-# Marts by month and their sort keys: date filters and the next incremental run
-# skip files.
-BY_MONTH = {"mart_creative_burnout": ("stat_date", ("creative_id", "stat_date"))}
+from burnlens.functions import constants as K
+from burnlens.operators import creative_state, quality
+from burnlens.plans.models import RAW_TABLES, Models, load_raw, load_tests
+from burnlens.sources import files, tables
+from burnlens.streaming import incremental as inc
+
+# How each materialised model is stored. The daily metrics are bucketed by the key
+# that all their readers group, window or join on, and cut by month for incremental runs; marts
+# are in the order of their reports, so date filters skip files and row groups.
+LAYOUTS = {
+    "int_creative_daily_metrics": tables.Layout(month_of="stat_date", sort=("creative_id", "stat_date"), bucket=("creative_id", 16)),
+    "mart_creative_burnout": inc.BURNOUT_LAYOUT,
+    "mart_campaign_performance": tables.Layout(month_of="stat_date", sort=("stat_date", "spend_usd")),
+    "mart_skan_attribution": tables.Layout(month_of="install_date", sort=("install_date", "spend_usd")),
+    "mart_cohort_analysis": inc.COHORT_LAYOUT,
+    "mart_unit_economics": tables.Layout(sort=("campaign_roas",)),
+}
+#: The state that the next run continues, and the first date that isn't in it.
+STATE = "creative_state"
+CREATIVE_MODELS = ("int_creative_daily_metrics", "int_creative_peaks", "int_burnout_events", "mart_creative_burnout")
 
 
 class DataTestFailure(RuntimeError):
-    """Data tests failed; nothing was committed."""
+    """Data tests failed; nothing was published."""
 
 
 DAILY = (
@@ -54,116 +66,200 @@ WEEKLY = (
 )
 
 
-def _bucketed_table(out_root: str) -> str:
-    return f"burnlens_{hashlib.sha1(out_root.encode()).hexdigest()[:12]}"
-
-
-def materialise(spark: SparkSession, models: Models, names, out_root: str,
-                previous_root: str | None = None, buckets: int | None = None) -> tuple[Models, dict[str, versions.Staged]]:
-    """Write each model in order, downstream models reading the written files.
-    Returns Models over those files, and the versions to commit. With
-    ``previous_root`` (the output folder of the previous run, which may be
-    ``out_root``) the burnout mart is maintained incrementally, as the
-    reference's daily run does: the last 15 dates are re-processed, files of
-    months before them are kept."""
-    run = Models(models.raw, models.as_of, models.denominator)
-    staged: dict[str, versions.Staged] = {}
-    for name in names:
-        root = f"{out_root}/{name}"
-        if name in BUCKETED:
-            key, sort_by, n = BUCKETED[name]
-            path = versions.new_path(root)
-            table = f"{_bucketed_table(out_root)}_{uuid.uuid4().hex[:8]}_{name}"
-            run.__dict__[name] = files.write_bucketed(spark, getattr(run, name), path, table, key, sort_by, buckets or n)
-            staged[name] = versions.Staged(root, ((versions.WHOLE, path),))
-            continue
-        df = getattr(run, name)
-        if name == "mart_creative_burnout" and previous_root is not None:
-            staged[name] = stage_incremental_burnout(spark, run.int_creative_daily_metrics, f"{previous_root}/{name}", root)
-        elif name in BY_MONTH:
-            staged[name] = versions.stage_months(df, root, *BY_MONTH[name])
-        else:
-            staged[name] = versions.stage(df, root)
-        run.__dict__[name] = spark.read.schema(df.schema).parquet(*(p for _, p in staged[name].parts))
-    return run, staged
-
-
-def drop_bucketed(spark: SparkSession, out_root: str) -> None:
-    """Take the run's bucketed tables off the session's catalog (files stay)."""
-    for t in spark.catalog.listTables(pattern=f"{_bucketed_table(out_root)}_*"):
-        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
-
-
-def _run(spark: SparkSession, models: Models, names, out_root: str,
-         previous_root: str | None = None, on_failure: str = "raise") -> DataFrame:
+class Run:
+    """Versions that a job has written, its models over them, and the seconds
+    that each took."""
+
+    def __init__(self, spark: SparkSession, models: Models, database: str, buckets: int | None = None):
+        self.spark, self.database, self.buckets = spark, database, buckets
+        self.models = Models(models.raw, models.as_of, models.denominator)
+        self.models.database = models.database
+        self.staged: dict[str, tables.Staged] = {}
+        self.seconds: dict[str, float] = {}
+
+    def layout(self, name: str) -> tables.Layout:
+        found = LAYOUTS.get(name, tables.Layout())
+        if self.buckets and found.bucket:
+            found = tables.Layout(found.month_of, found.by, found.sort, (found.bucket[0], self.buckets))
+        return found
+
+    def add(self, name: str, write) -> DataFrame:
+        """Stage a table by ``write()`` and return its rows; downstream models read them."""
+        start = time.perf_counter()
+        self.staged[name] = write()
+        self.seconds[name] = time.perf_counter() - start
+        out = tables.read_staged(self.spark, self.staged[name])
+        self.models.__dict__[name] = out
+        return out
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        return self.add(name, lambda: tables.stage(df, f"{self.database}.{name}", self.layout(name)))
+
+    def discard(self) -> None:
+        for s in self.staged.values():
+            tables.discard(self.spark, s)
+
+    def publish(self) -> None:
+        for s in self.staged.values():
+            tables.publish(self.spark, s)
+
+
+# ------------------------------------------------------------ creative models
+def continued_from(spark: SparkSession, models: Models, previous: str | None) -> tuple[DataFrame, dt.date] | None:
+    """The previous run's state and the first date after it; None when there is
+    none to continue (then the run is a full one)."""
+    if previous is None or not all(tables.exists(spark, f"{previous}.{n}") for n in (STATE, *CREATIVE_MODELS)):
+        return None
+    state = tables.read(spark, f"{previous}.{STATE}")
+    before = state.agg(F.max("before").alias("d")).first()["d"]
+    state = state.drop("before")
+    if before is None or not creative_state.relaunched(state, models.stg_creatives).isEmpty():
+        return None
+    return state, before
+
+
+def _save_state(run: Run, state: DataFrame, metrics: DataFrame, before: dt.date | None) -> None:
+    """The state for the next run: as of ``before``, the first date it will re-process."""
+    latest = tables.latest(run.spark, run.staged["mart_creative_burnout"].version, "stat_date")
+    upto = creative_state.next_before(latest, before)
+    if upto is not None:
+        kept = creative_state.merged(state, metrics.where(F.col("stat_date") < F.lit(upto)))
+        run.write(STATE, kept.withColumn("before", F.lit(upto)))
+
+
+def creative_models(run: Run, names, previous: str | None) -> None:
+    """The daily metrics, peaks, burnout events and burnout mart; from the
+    previous run's state where there is one."""
+    spark, models, db = run.spark, run.models, run.database
+    held = continued_from(spark, models, previous)
+    if held is None:
+        metrics = run.write("int_creative_daily_metrics", models.int_creative_daily_metrics)
+        for name in ("int_creative_peaks", "int_burnout_events", "mart_creative_burnout"):
+            if name in names:
+                run.write(name, getattr(models, name))
+        _save_state(run, creative_state.empty(spark), metrics, None)
+        return
+    state, since = held
+    fresh = creative_state.window_metrics(state, models.ads_since(since), models.stg_creatives, models.stg_campaigns)
+    name = "int_creative_daily_metrics"
+    run.add(name, lambda: inc.replace_since(fresh, f"{previous}.{name}", f"{db}.{name}", since, run.layout(name), "stat_date"))
+    window = tables.read_staged(spark, run.staged[name], since, "stat_date")
+    now = run.write("creative_state_now", creative_state.merged(state, window))
+    if "int_creative_peaks" in names:
+        run.write("int_creative_peaks", creative_state.peaks(now))
+    if "int_burnout_events" in names:
+        run.write("int_burnout_events", creative_state.burnout_events(now))
+    mart = "mart_creative_burnout"
+    run.add(mart, lambda: inc.stage_upsert(creative_state.burnout(now, window), f"{previous}.{mart}", f"{db}.{mart}", since))
+    _save_state(run, state, window, since)
+
+
+# ------------------------------------------------------------ jobs
+def materialise(spark: SparkSession, models: Models, names, database: str,
+                previous: str | None = None, buckets: int | None = None) -> Run:
+    """Write each model in order, downstream models reading the written
+    versions, none of them published. ``previous``: the database of the previous
+    run (which may be ``database``), from which the creative models go on."""
+    run = Run(spark, models, database, buckets)
+    try:
+        if any(n in CREATIVE_MODELS for n in names):
+            creative_models(run, names, previous)
+        for name in names:
+            if name not in CREATIVE_MODELS:
+                run.write(name, getattr(run.models, name))
+    except BaseException:
+        run.discard()
+        raise
+    return run
+
+
+def _run(spark: SparkSession, models: Models, names, database: str,
+         previous: str | None = None, on_failure: str = "raise") -> DataFrame:
     if on_failure not in ("raise", "publish"):
         raise ValueError(f"unknown policy {on_failure!r}")
-    run, staged = materialise(spark, models, names, out_root, previous_root)
-    tests = quality.dq_summary(models.raw, run.mart_creative_burnout, run.stg_ad_stats)
-    staged["dq_summary"] = versions.stage(tests, f"{out_root}/dq_summary")
-    results = spark.read.parquet(staged["dq_summary"].parts[0][1])
-    failed = results.agg(F.count_if(F.col("status") == "FAIL").alias("n")).select(
-        F.lit("dq_failed_tests").alias("model"), F.col("n").alias("row_count"))
-    drop_bucketed(spark, out_root)
-    if on_failure == "raise":
-        names_failed = [r["test_name"] for r in results.where(F.col("status") == "FAIL").collect()]
-        if names_failed:
-            raise DataTestFailure(", ".join(sorted(names_failed)))
-    for s in staged.values():
-        versions.commit(spark, s)
+    run = materialise(spark, models, names, database, previous)
+    try:
+        tests = quality.dq_summary(models.raw, run.models.mart_creative_burnout, run.models.stg_ad_stats, load_tests(spark, models.database))
+        results = run.write("dq_summary", tests)
+        if on_failure == "raise":
+            failed = [r["test_name"] for r in results.where(F.col("status") == "FAIL").collect()]  # of 25
+            if failed:
+                raise DataTestFailure(", ".join(sorted(failed)))
+    except BaseException:
+        run.discard()
+        raise
+    run.publish()
+    took = spark.createDataFrame([(n, round(s, 3)) for n, s in run.seconds.items()], "model string, seconds double").coalesce(1)
+    tables.replace(took, f"{database}.run_seconds")
     counts = [
-        versions.read(spark, s.root).agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(n).alias("model"), "row_count")
-        for n, s in staged.items() if n != "dq_summary"
+        tables.read(spark, f"{database}.{n}").agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("model"), "row_count")
+        for n in names
     ]
+    counts.append(tables.read(spark, f"{database}.dq_summary").agg(F.count_if(F.col("status") == "FAIL").alias("row_count"))
+                  .select(F.lit("dq_failed_tests").alias("model"), "row_count"))
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
-    return out.unionByName(failed)
+    return out
 
 
-def refresh_daily(spark: SparkSession, models: Models, out_root: str,
-                  previous_root: str | None = None, on_failure: str = "raise") -> DataFrame:
-    """Run summary: (model, row_count) per written model, plus failed tests.
-    ``previous_root``: the previous run's output, for the incremental mart.
-    ``on_failure``: "raise" commits nothing when a data test fails, "publish"
+def refresh_daily(spark: SparkSession, models: Models, database: str,
+                  previous: str | None = None, on_failure: str = "raise") -> DataFrame:
+    """Run summary: (model, row_count) per model, plus failed tests.
+    ``previous``: the previous run's database, to go on from.
+    ``on_failure``: "raise" publishes nothing when a data test fails, "publish"
     reports the failures only."""
-    return _run(spark, models, DAILY, out_root, previous_root, on_failure)
+    return _run(spark, models, DAILY, database, previous, on_failure)
+
+
+def refresh_weekly(spark: SparkSession, models: Models, database: str, on_failure: str = "raise") -> DataFrame:
+    """Full rebuild of the cohort and creative models."""
+    return _run(spark, models, WEEKLY, database, on_failure=on_failure)
+
 
+def databases(spark: SparkSession, prefix: str, location: str | None = None) -> tuple[str, str]:
+    """The databases of the raw tables and of the models, created if need be."""
+    return tuple(tables.create_database(spark, f"{prefix}_{x}", f"{location}/{x}" if location else None) for x in ("raw", "models"))
 
-def load_csv(spark: SparkSession, csv_root: str, raw_root: str) -> DataFrame:
+
+def load_csv(spark: SparkSession, csv_root: str, database: str) -> DataFrame:
     """Load the five raw tables from their CSV files (``csv_root``/<table>);
-    returns (table_name, row_count)."""
-    load_raw({t: files.read_raw_csv(spark, f"{csv_root}/{t}", t) for t in RAW_TABLES}, raw_root)
-    return files.load_row_counts({t: files.read_raw_table(spark, f"{raw_root}/{t}", t) for t in RAW_TABLES})
+    returns (table_name, row_count) as the load counted them."""
+    load_raw({t: files.read_raw_csv(spark, f"{csv_root}/{t}", t) for t in RAW_TABLES}, database)
+    rows = load_tests(spark, database)
+    return spark.createDataFrame([(t, rows[f"rows_{t}"]) for t in RAW_TABLES], "table_name string, row_count long")
 
 
-def run_daily(spark: SparkSession, csv_root: str, root: str, as_of: dt.date | None = None,
-              on_failure: str = "raise") -> tuple[DataFrame, DataFrame]:
+def run_daily(spark: SparkSession, csv_root: str, prefix: str, as_of: dt.date | None = None, on_failure: str = "raise",
+              location: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The whole daily job: load, staging, intermediate models, marts, tests.
     Returns the loaded row counts and the run summary."""
-    loaded = load_csv(spark, csv_root, f"{root}/raw")
-    models = Models.from_raw_files(spark, f"{root}/raw", as_of=as_of)
-    previous = f"{root}/models" if versions.exists(spark, f"{root}/models/mart_creative_burnout") else None
-    return loaded, refresh_daily(spark, models, f"{root}/models", previous, on_failure)
+    raw, out = databases(spark, prefix, location)
+    loaded = load_csv(spark, csv_root, raw)
+    return loaded, refresh_daily(spark, Models.from_tables(spark, raw, as_of=as_of), out, out, on_failure)
 
 
-def run_weekly(spark: SparkSession, root: str, as_of: dt.date | None = None, on_failure: str = "raise") -> DataFrame:
+def run_weekly(spark: SparkSession, prefix: str, as_of: dt.date | None = None, on_failure: str = "raise", location: str | None = None) -> DataFrame:
     """The weekly job over the tables that the daily job loaded."""
-    return refresh_weekly(spark, Models.from_raw_files(spark, f"{root}/raw", as_of=as_of), f"{root}/models", on_failure)
+    raw, out = databases(spark, prefix, location)
+    return refresh_weekly(spark, Models.from_tables(spark, raw, as_of=as_of), out, on_failure)
+
+
+def run_backfill(spark: SparkSession, prefix: str, as_of: dt.date, days: int = K.BACKFILL_DAYS, location: str | None = None) -> DataFrame:
+    """The weekly cohort window over loaded tables: returns (model, row_count)
+    of the cohort mart."""
+    raw, out = databases(spark, prefix, location)
+    backfill_weekly(spark, raw, f"{out}.mart_cohort_analysis", as_of, days)
+    return (tables.read(spark, f"{out}.mart_cohort_analysis").agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit("mart_cohort_analysis").alias("model"), "row_count"))
 
 
-def backfill_weekly(spark: SparkSession, raw_root: str, target_path: str,
-                    as_of, days: int | None = None) -> None:
+def backfill_weekly(spark: SparkSession, raw_database: str, target: str, as_of: dt.date, days: int = K.BACKFILL_DAYS) -> None:
     """Weekly cohort backfill from the loaded raw tables: recompute only the
     cohorts installed in the last ``days`` days, reading only those months,
     and replace their install_date partitions in the target."""
-    from burnlens.functions import constants as K
-    from burnlens.streaming.incremental import backfill_cohorts, backfill_since
-    days = K.BACKFILL_DAYS if days is None else days
-    since = backfill_since(as_of, days)
-    recent = Models.from_raw_files(spark, raw_root, since=since, as_of=as_of)
-    backfill_cohorts(recent.mart_cohort_analysis, target_path, as_of, days)
+    recent = Models.from_tables(spark, raw_database, since=inc.backfill_since(as_of, days), as_of=as_of)
+    inc.backfill_cohorts(recent.mart_cohort_analysis, target, as_of, days)
 
 
 def export_marts(spark: SparkSession, models: Models, out_root: str,
@@ -171,15 +267,10 @@ def export_marts(spark: SparkSession, models: Models, out_root: str,
     """The BI read path: every mart with the BI column-type contract, NaN/Inf
     turned into NULL, written as CSV with header (or JSON lines) under
     ``out_root``. Returns mart name -> path."""
-    from burnlens.sources.files import bi_types, export_csv, export_json
-    writer = {"csv": export_csv, "json": export_json}[fmt]
+    writer = {"csv": files.export_csv, "json": files.export_json}[fmt]
     paths = {}
     for name in Models.MARTS:
         path = f"{out_root}/{name}"
-        writer(bi_types(getattr(models, name)), path)
+        writer(files.bi_types(getattr(models, name)), path)
         paths[name] = path
     return paths
-
-
-def refresh_weekly(spark: SparkSession, models: Models, out_root: str, on_failure: str = "raise") -> DataFrame:
-    return _run(spark, models, WEEKLY, out_root, on_failure=on_failure)

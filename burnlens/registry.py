@@ -21,7 +21,7 @@ from burnlens.operators import staging as stg
 from burnlens.plans import refresh
 from burnlens.plans.models import DEFAULT_AS_OF, Models
 from burnlens.session import scratch_path
-from burnlens.sources import files, versions
+from burnlens.sources import files, tables
 from burnlens.sources.schemas import AD_DAILY_STATS, RAW_SCHEMAS, SORT_KEYS
 from burnlens.streaming import incremental as inc
 
@@ -87,11 +87,11 @@ def _src_loaded_at(spark, sf):
 
 @register("sink_replace")
 def _sink_replace(spark, sf):
-    path = scratch_path(spark, "sink_replace")
+    name = f"{tables.scratch_database(spark)}.ad_daily_stats"
     raw = M(spark, sf).raw["ad_daily_stats"]
-    files.write_replace(raw, path)
-    files.write_replace(raw, path)  # a re-run replaces, never appends
-    return files.api_edge(files.read_table(spark, path, AD_DAILY_STATS))
+    files.write_replace(raw, name)
+    files.write_replace(raw, name)  # a re-run replaces, never appends
+    return files.api_edge(tables.read(spark, name))
 
 
 @register("load_row_counts")
@@ -123,9 +123,9 @@ def _mat_view(spark, sf):
 
 @register("mat_table")
 def _mat_table(spark, sf):
-    path = scratch_path(spark, "mat_table")
-    files.write_replace(M(spark, sf).int_creative_peaks, path)
-    return files.read_table(spark, path)
+    name = f"{tables.scratch_database(spark)}.int_creative_peaks"
+    files.write_replace(M(spark, sf).int_creative_peaks, name)
+    return tables.read(spark, name)
 
 
 @register("sink_export_csv")
@@ -474,15 +474,13 @@ def _partial_models(spark, sf) -> Models:
 
 
 def _first_run_target(spark, sf) -> str:
-    path = scratch_path(spark, "burnout_target")
-    inc.full_refresh(_partial_models(spark, sf).mart_creative_burnout, path)
-    return path
+    name = f"{tables.scratch_database(spark)}.burnout_target"
+    return inc.full_refresh(_partial_models(spark, sf).mart_creative_burnout, name)
 
 
 @register("inc_window_filter")
 def _inc_window_filter(spark, sf):
-    target = versions.read(spark, _first_run_target(spark, sf))
-    since = inc.reprocess_since(target)
+    since = inc.watermark(spark, _first_run_target(spark, sf))
     return inc.inc_window_filter(M(spark, sf).int_creative_daily_metrics, since).select(
         "creative_id", "stat_date", "impressions", "ctr_7d_avg")
 
@@ -490,9 +488,7 @@ def _inc_window_filter(spark, sf):
 @register("inc_delete_insert")
 def _inc_delete_insert(spark, sf):
     target = _first_run_target(spark, sf)
-    out = scratch_path(spark, "burnout_v2")
-    inc.incremental_burnout(spark, M(spark, sf).int_creative_daily_metrics, target, out)
-    return versions.read(spark, out)
+    return tables.read(spark, inc.incremental_burnout(spark, M(spark, sf).int_creative_daily_metrics, target, target))
 
 
 @register("inc_delete_insert_compat")
@@ -501,17 +497,14 @@ def _inc_delete_insert_compat(spark, sf):
     best CPI of a re-processed row is the minimum over the re-processed dates
     only."""
     target = _first_run_target(spark, sf)
-    out = scratch_path(spark, "burnout_v2c")
-    inc.incremental_burnout(spark, M(spark, sf).int_creative_daily_metrics, target, out,
-                            compat_window=True)
-    return versions.read(spark, out)
+    inc.incremental_burnout(spark, M(spark, sf).int_creative_daily_metrics, target, target, compat_window=True)
+    return tables.read(spark, target)
 
 
 @register("inc_full_refresh")
 def _inc_full_refresh(spark, sf):
-    out = scratch_path(spark, "burnout_full")
-    inc.full_refresh(M(spark, sf).mart_creative_burnout, out)
-    return versions.read(spark, out)
+    out = f"{tables.scratch_database(spark)}.mart_creative_burnout"
+    return tables.read(spark, inc.full_refresh(M(spark, sf).mart_creative_burnout, out))
 
 
 @register("backfill_window")
@@ -521,30 +514,30 @@ def _backfill_window(spark, sf):
     stale_raw["iap_events"] = stale_raw["iap_events"].where(
         F.col("event_date") <= F.lit(STALE_REVENUE_CUTOFF))
     stale = Models(stale_raw, m.as_of).mart_cohort_analysis
-    path = scratch_path(spark, "cohort_target")
-    inc.write_by_install_date(stale, path)
-    inc.backfill_cohorts(m.mart_cohort_analysis, path, DEFAULT_AS_OF)
-    return inc.read_by_install_date(spark, path, m.mart_cohort_analysis)
+    name = f"{tables.scratch_database(spark)}.mart_cohort_analysis"
+    inc.write_by_install_date(stale, name)
+    inc.backfill_cohorts(m.mart_cohort_analysis, name, DEFAULT_AS_OF)
+    return tables.read(spark, name)
 
 
 @register("refresh_daily")
 def _refresh_daily(spark, sf):
-    return refresh.refresh_daily(spark, M(spark, sf), scratch_path(spark, "daily"), on_failure="publish")
+    return refresh.refresh_daily(spark, M(spark, sf), tables.scratch_database(spark, "daily"), on_failure="publish")
 
 
 @register("refresh_daily_incremental")
 def _refresh_daily_incremental(spark, sf):
-    """Two daily runs on one folder: the first sees the ad days up to
-    INCREMENTAL_CUTOFF, the second maintains the burnout mart."""
-    out = scratch_path(spark, "daily")
+    """Two daily runs on one database: the first sees the ad days up to
+    INCREMENTAL_CUTOFF, the second goes on from its state."""
+    out = tables.scratch_database(spark, "daily")
     refresh.refresh_daily(spark, _partial_models(spark, sf), out, on_failure="publish")
-    refresh.refresh_daily(spark, M(spark, sf), out, previous_root=out, on_failure="publish")
-    return versions.read(spark, f"{out}/mart_creative_burnout")
+    refresh.refresh_daily(spark, M(spark, sf), out, previous=out, on_failure="publish")
+    return tables.read(spark, f"{out}.mart_creative_burnout")
 
 
 @register("refresh_weekly")
 def _refresh_weekly(spark, sf):
-    return refresh.refresh_weekly(spark, M(spark, sf), scratch_path(spark, "weekly"), on_failure="publish")
+    return refresh.refresh_weekly(spark, M(spark, sf), tables.scratch_database(spark, "weekly"), on_failure="publish")
 
 
 # ------------------------------------------------------------ data quality

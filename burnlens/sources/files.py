@@ -1,8 +1,9 @@
 """File sources and sinks: typed CSV ingest, idempotent replace, month
 partitioning, sorted layout, BI exports.
 
-Every replace writes a new version and then commits it (see ``versions``), so a
-lost executor or a failed job leaves the previous version intact.
+Every replace writes a new version of a catalogue table and then publishes it
+(see ``tables``), so a lost executor or a failed job leaves the previous version
+intact.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from burnlens.functions.columns import month_key, nan_to_null
-from burnlens.sources import versions
+from burnlens.sources import tables
 from burnlens.sources.schemas import MONTH_PARTITION, RAW_SCHEMAS, SORT_KEYS
 
-MONTH_COLUMN = versions.MONTH
+MONTH_COLUMN = tables.MONTH
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -65,20 +66,15 @@ def with_loaded_at(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     return df.withColumn("loaded_at", F.current_timestamp() if loaded_at is None else loaded_at)
 
 
-def write_replace(df: DataFrame, path: str) -> None:
-    """Idempotent full replace of the table at ``path`` (sink_replace)."""
-    versions.publish(df, path)
-
-
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A table written by ``write_replace``."""
-    return versions.read(spark, path, schema)
+def write_replace(df: DataFrame, name: str) -> None:
+    """Idempotent full replace of the table ``name`` (sink_replace)."""
+    tables.replace(df, name)
 
 
 def write_month_partitioned(df: DataFrame, path: str, date_col: str) -> None:
     """Facts partitioned by month of ``date_col`` (sink_partition_month).
     Month, not day: few, large files; readers prune on ``ym`` or on the date."""
-    (versions.rebalance(df.withColumn(MONTH_COLUMN, month_key(date_col)), MONTH_COLUMN)
+    (tables.rebalance(df.withColumn(MONTH_COLUMN, month_key(date_col)), MONTH_COLUMN)
      .write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path))
 
 
@@ -94,42 +90,19 @@ def write_sorted(df: DataFrame, path: str, keys) -> None:
     df.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
-def write_raw_table(df: DataFrame, path: str, table: str) -> None:
-    """Raw table layout: a new version, facts in month partitions, sorted by
-    the table's key within files. The rows are rebalanced by month: AQE merges
-    small months into few tasks and splits large ones, so the number of files
-    follows the data, and the input is read once."""
-    date_col, keys = MONTH_PARTITION[table], SORT_KEYS[table]
-    if date_col is None:
-        versions.publish(df.sortWithinPartitions(*keys), path)
-    else:
-        versions.commit(df.sparkSession, versions.stage_months(df, path, date_col, keys))
-
-
-def read_raw_table(spark: SparkSession, path: str, table: str, since=None) -> DataFrame:
-    """A raw table as written by ``write_raw_table``, without load columns.
-    With ``since`` (a date), fact tables keep only rows dated on or after it:
-    earlier months' files are not listed, the date predicate skips row groups."""
-    date_col, schema = MONTH_PARTITION[table], RAW_SCHEMAS[table]
-    if date_col is None or since is None:
-        return versions.read(spark, path, schema)
-    months = [m for m in versions.parts(spark, path) if m == versions.WHOLE or since.strftime("%Y%m") <= m < "none"]
-    return versions.read(spark, path, schema, months).where(F.col(date_col) >= F.lit(since))
-
-
-def write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, key: str,
-                   sort_by=(), buckets: int = 16) -> DataFrame:
-    """Write ``df`` as a table bucketed by ``key`` (files at ``path``) and
-    return it. Readers that group, window or join on ``key`` then use the
-    bucket layout instead of a shuffle. The repartition on the same key and
-    count gives one file per bucket; when ``df`` is already hash-partitioned
-    by ``key`` (e.g. the output of a window on it) Spark merges the two into
-    a single exchange. ``buckets`` is part of the table's layout, chosen by its
-    size, not by the session's shuffle partitions."""
-    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
-     .bucketBy(buckets, key).sortBy(*(sort_by or (key,)))
-     .option("path", path).saveAsTable(table))
-    return spark.table(table)
+def raw_layout(table: str) -> tables.Layout:
+    """Facts in month partitions, every table sorted by its key within files.
+    The rows are rebalanced by month: AQE merges small months into few tasks and
+    splits large ones, so the number of files follows the data, and the input is read once."""
+    return tables.Layout(month_of=MONTH_PARTITION[table], sort=SORT_KEYS[table])
+
+
+def read_raw_table(spark: SparkSession, database: str, table: str, since=None) -> DataFrame:
+    """A loaded raw table, without load columns. With ``since`` (a date), fact
+    tables keep only rows dated on or after it, and earlier months are pruned."""
+    date_col = MONTH_PARTITION[table]
+    df = tables.read(spark, f"{database}.{table}", since if date_col else None, date_col)
+    return df.select(*RAW_SCHEMAS[table].fieldNames())
 
 
 def load_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

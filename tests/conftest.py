@@ -6,10 +6,10 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from burnlens.session import checkpoint_root, local_session  # noqa: E402
-
-SMOKE = "/root/testdata/sf0.001"
+from marts_helpers import SMOKE  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,10 +23,3 @@ def spark():
 def models(spark):
     from burnlens.plans.models import Models
     return Models.from_testdata(spark, SMOKE)
-
-
-def rows(df, *cols, order=None):
-    """Collect a small test frame as tuples (sorted for stable comparison)."""
-    sel = df.select(*cols) if cols else df
-    out = [tuple(r) for r in sel.collect()]
-    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t)) if order is None else out

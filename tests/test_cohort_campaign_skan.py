@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from burnlens.operators import campaign, cohort, skan
 from burnlens.operators import staging as stg
 from burnlens.sources import schemas as S
-from conftest import rows
+from marts_helpers import rows
 
 D0 = dt.date(2024, 10, 1)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from burnlens.operators import quality
 from burnlens.session import scratch_path
 from burnlens.sources import schemas as S
-from burnlens.sources import versions
+from burnlens.sources import tables
 from burnlens.streaming import incremental as inc
 
 T = dt.date(2024, 12, 10)
@@ -46,26 +46,23 @@ def test_incremental_equals_full_refresh_in_window(spark, models):
     from burnlens.plans.models import Models
     raw = dict(models.raw)
     raw["ad_daily_stats"] = raw["ad_daily_stats"].where(F.col("stat_date") <= F.lit(T))
-    first = scratch_path(spark, "t_first")
-    inc.full_refresh(Models(raw).mart_creative_burnout, first)
-    out = scratch_path(spark, "t_second")
-    inc.incremental_burnout(spark, models.int_creative_daily_metrics, first, out)
-    since = inc.reprocess_since(versions.read(spark, first))
-    got = versions.read(spark, out).where(F.col("stat_date") >= F.lit(since))
+    name = f"{tables.scratch_database(spark)}.mart"
+    inc.full_refresh(Models(raw).mart_creative_burnout, name)
+    since = inc.watermark(spark, name)
+    inc.incremental_burnout(spark, models.int_creative_daily_metrics, name, name)
+    got = tables.read(spark, name).where(F.col("stat_date") >= F.lit(since))
     full = models.mart_creative_burnout.where(F.col("stat_date") >= F.lit(since))
     assert got.count() == full.count() > 0
     assert got.exceptAll(full.select(*got.columns)).count() == 0
 
 
 def test_backfill_replaces_recent_partitions_only(spark):
-    old = spark.createDataFrame([(dt.date(2024, 10, 1), 1), (dt.date(2024, 12, 1), 1)],
-                                "install_date date, v int")
-    path = scratch_path(spark, "t_backfill")
-    inc.write_by_install_date(old, path)
-    fresh = spark.createDataFrame([(dt.date(2024, 10, 1), 2), (dt.date(2024, 12, 1), 2)],
-                                  "install_date date, v int")
-    inc.backfill_cohorts(fresh, path, dt.date(2024, 12, 31))
-    got = sorted(tuple(r) for r in inc.read_by_install_date(spark, path, old).collect())
+    schema = "install_date date, v int, network string, country string"
+    name = f"{tables.scratch_database(spark)}.cohorts"
+    inc.write_by_install_date(spark.createDataFrame([(dt.date(2024, 10, 1), 1, "n", "c"), (dt.date(2024, 12, 1), 1, "n", "c")], schema), name)
+    fresh = spark.createDataFrame([(dt.date(2024, 10, 1), 2, "n", "c"), (dt.date(2024, 12, 1), 2, "n", "c")], schema)
+    inc.backfill_cohorts(fresh, name, dt.date(2024, 12, 31))
+    got = sorted(tuple(r)[:2] for r in tables.read(spark, name).collect())
     assert got == [(dt.date(2024, 10, 1), 1), (dt.date(2024, 12, 1), 2)]
 
 
@@ -142,21 +139,21 @@ def test_load_raw_round_trip_and_backfill_job(spark, models):
     weekly backfill from those files (month-pruned) equals a full recompute."""
     from burnlens.plans import refresh
     from burnlens.plans.models import Models, load_raw
-    root = scratch_path(spark, "t_raw")
+    root = tables.scratch_database(spark, "t_raw")
     load_raw(models.raw, root)
-    loaded = Models.from_raw_files(spark, root)
+    loaded = Models.from_tables(spark, root)
     for t, df in models.raw.items():
         back = loaded.raw[t]
         assert back.columns == df.columns
         assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
     as_of = dt.date(2024, 12, 31)
     full = loaded.mart_cohort_analysis
-    target = scratch_path(spark, "t_cohorts")
+    target = f"{root}.cohorts"
     stale_raw = dict(loaded.raw)
     stale_raw["iap_events"] = stale_raw["iap_events"].where(F.col("event_date") <= F.lit(T))
     inc.write_by_install_date(Models(stale_raw).mart_cohort_analysis, target)
     refresh.backfill_weekly(spark, root, target, as_of)
-    back = inc.read_by_install_date(spark, target, full)
+    back = tables.read(spark, target)
     since = inc.backfill_since(as_of)
     recent = F.col("install_date") >= F.lit(since)
     assert back.where(recent).exceptAll(full.where(recent)).count() == 0
@@ -172,24 +169,21 @@ def test_daily_job_runs_incrementally_on_previous_output(spark, models):
     from burnlens.plans.models import Models
     raw = dict(models.raw)
     raw["ad_daily_stats"] = raw["ad_daily_stats"].where(F.col("stat_date") <= F.lit(T))
-    day1 = scratch_path(spark, "t_day1")
-    def run(models, out, previous=None):
-        _, staged = refresh.materialise(spark, models, ("int_creative_daily_metrics", "mart_creative_burnout"), out, previous)
-        for s in staged.values():
-            versions.commit(spark, s)
-
-    run(Models(raw), day1)
-    day2 = scratch_path(spark, "t_day2")
-    fresh = Models(models.raw)
-    run(fresh, day2, day1)
-    prev = versions.read(spark, f"{day1}/mart_creative_burnout")
-    since = inc.reprocess_since(prev)
-    got = versions.read(spark, f"{day2}/mart_creative_burnout")
+    names = ("int_creative_daily_metrics", "int_creative_peaks", "int_burnout_events", "mart_creative_burnout")
+    day1, day2 = (tables.scratch_database(spark, d) for d in ("t_day1", "t_day2"))
+    refresh.materialise(spark, Models(raw), names, day1).publish()
+    refresh.materialise(spark, Models(models.raw), names, day2, day1).publish()
+    prev = tables.read(spark, f"{day1}.mart_creative_burnout")
+    since = inc.watermark(spark, f"{day1}.mart_creative_burnout")
+    got = tables.read(spark, f"{day2}.mart_creative_burnout")
     full = models.mart_creative_burnout
     recent = F.col("stat_date") >= F.lit(since)
     assert got.where(recent).exceptAll(full.where(recent).select(*got.columns)).count() == 0
     assert got.where(~recent).exceptAll(prev.where(~recent)).count() == 0
     assert got.count() == prev.where(~recent).count() + full.where(recent).count()
+    for name in names[:3]:
+        a, b = tables.read(spark, f"{day2}.{name}"), getattr(models, name)
+        assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count(), name
 
 
 def test_export_marts_round_trip(spark, models):

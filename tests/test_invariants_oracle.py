@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 import __spark_entry__ as E
-from conftest import SMOKE
+from marts_helpers import SMOKE
 from tools.compare import TABLES, key, norm
 
 

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from burnlens import registry as E
-from conftest import SMOKE
+from marts_helpers import SMOKE
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -39,10 +39,10 @@ def test_no_cross_joins_or_python_anywhere(spark):
 @pytest.fixture(scope="module")
 def loaded(spark, models):
     from burnlens.plans.models import Models, load_raw
-    from burnlens.session import scratch_path
-    root = scratch_path(spark, "plans_raw")
-    load_raw(models.raw, root)
-    return Models.from_raw_files(spark, root)
+    from burnlens.sources import tables
+    database = tables.scratch_database(spark, "plans")
+    load_raw(models.raw, database)
+    return Models.from_tables(spark, database)
 
 
 def test_headline_mart_is_one_shuffle_with_broadcast_dims(loaded):
@@ -67,10 +67,11 @@ def test_fact_aggregates_combine_before_the_shuffle(loaded):
 
 def test_bucketed_metrics_feed_the_creative_models_without_shuffle(spark, models):
     from burnlens.operators import creative
-    from burnlens.session import scratch_path
-    from burnlens.sources.files import write_bucketed
-    t = write_bucketed(spark, models.int_creative_daily_metrics, scratch_path(spark, "bk"),
-                       "burnlens_test_bucketed_metrics", "creative_id", ("creative_id", "stat_date"))
+    from burnlens.plans.refresh import LAYOUTS
+    from burnlens.sources import tables
+    name = f"{tables.scratch_database(spark)}.metrics"
+    tables.replace(models.int_creative_daily_metrics, name, LAYOUTS["int_creative_daily_metrics"])
+    t = tables.read(spark, name)
     for df in (creative.creative_burnout(t), creative.peaks(t), creative.burnout_events(t)):
         assert shuffles(physical(df)) == 0
     assert t.exceptAll(models.int_creative_daily_metrics).count() == 0
@@ -84,8 +85,8 @@ def test_quality_summary_copies_no_row(loaded):
 
 def test_raw_load_reads_its_input_once(spark, models):
     """The raw write rebalances (no range sampling, which runs the input twice)."""
-    from burnlens.sources import versions
-    plan = physical(versions.rebalance(models.raw["iap_events"].withColumn("ym", models.raw["iap_events"].install_date.cast("string")), "ym"))
+    from burnlens.sources import tables
+    plan = physical(tables.rebalance(models.raw["iap_events"].withColumn("ym", models.raw["iap_events"].install_date.cast("string")), "ym"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "rangepartitioning" not in plan
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from burnlens.functions import constants as K
 from burnlens.operators import staging as stg
 from burnlens.sources import schemas as S
-from conftest import rows
+from marts_helpers import rows
 
 D = dt.date
 dec = __import__("decimal").Decimal
