@@ -30,7 +30,8 @@ from burnlens.llm.common import id_text, materialise
 LENGTH = 2048
 SEPARATOR = 0
 GROUP = 16384        # pieces packed together
-CACHE = 700_000      # encoded white-space-delimited strings kept by a worker (about 150 MB)
+CACHE_BYTES = 32 << 20  # what a task keeps of encoded strings, in each of two maps; nothing is kept after it
+ENTRY_BYTES = 200       # of a map's entry, besides its characters and ids
 TOKENIZER = "word_bpe_49k.json"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -71,8 +72,12 @@ class Encoder:
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
+        self.clear()
+
+    def clear(self) -> None:
         self.cache: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
+        self.cache_bytes = self.parts_bytes = 0
 
     def _encode_parts(self, parts: list[str]) -> None:
         for lo in range(0, len(parts), 20_000):
@@ -84,6 +89,7 @@ class Encoder:
                 raise ValueError("the tokenizer doesn't mark the ends of its pre-tokens")
             raw = ids.tobytes()
             self.parts.update(zip(some, (raw[4 * a:4 * b] for a, b in zip([0, *cuts], cuts))))
+            self.parts_bytes += ENTRY_BYTES * len(some) + len(raw) + sum(map(len, some))
 
     def _add(self, new: set[str]) -> None:
         split = {s: (s,) if s.isalpha() else self.split(s) for s in new}
@@ -92,14 +98,13 @@ class Encoder:
             self._encode_parts(list(missing))
         get = self.parts.__getitem__
         for s, p in split.items():
-            self.cache[s] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
+            ids = self.cache[s] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
+            self.cache_bytes += ENTRY_BYTES + len(s) + (len(ids) if len(p) > 1 else 0)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.lower().replace("\n", " ").split(" ") if self.plain(t) and "<|" not in t else None for t in texts]
-        if len(self.cache) > CACHE:
-            self.cache = {"": b""}
-        if len(self.parts) > CACHE:
-            self.parts = {}
+        if self.cache_bytes > CACHE_BYTES or self.parts_bytes > CACHE_BYTES:
+            self.clear()
         new = set().union(*(s for s in split if s is not None)).difference(self.cache)
         if new:
             self._add(new)
@@ -113,12 +118,20 @@ def _pieces(batches: Iterable[pa.RecordBatch], path: str, length: int) -> Iterat
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _encoder:
         _encoder[path] = Encoder(path)
+    encoder = _encoder[path]
+    try:
+        yield from _cut(batches, encoder, length)
+    finally:
+        encoder.clear()  # the worker goes on to other stages
+
+
+def _cut(batches: Iterable[pa.RecordBatch], encoder: Encoder, length: int) -> Iterator[pa.RecordBatch]:
     end = np.array([SEPARATOR], "<u4").tobytes()
     for batch in batches:
         out: list[tuple] = []
         for lo in range(0, batch.num_rows, 256):
             part = batch.slice(lo, 256)
-            for doc, ids in zip(part.column(0).to_pylist(), _encoder[path].encode(part.column(1).to_pylist())):
+            for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * length)):
                     piece = ids[at:at + 4 * length]
