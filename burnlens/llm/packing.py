@@ -30,7 +30,7 @@ from burnlens.llm.common import id_text, materialise
 LENGTH = 2048
 SEPARATOR = 0
 GROUP = 16384        # pieces packed together
-CACHE_BYTES = 32 << 20  # what a task keeps of encoded strings, in each of two maps; nothing is kept after it
+CACHE_BYTES = 160 << 20  # what a task keeps of encoded strings, in each of two maps; nothing is kept after it
 ENTRY_BYTES = 200       # of a map's entry, besides its characters and ids
 TOKENIZER = "word_bpe_49k.json"
 
