@@ -16,6 +16,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -119,18 +120,20 @@ def _pieces(batches: Iterable[pa.RecordBatch], path: str, length: int) -> Iterat
     if path not in _encoder:
         _encoder[path] = Encoder(path)
     encoder = _encoder[path]
+    gc.disable()  # the maps' many strings hold no cycles
     try:
         yield from _cut(batches, encoder, length)
     finally:
         encoder.clear()  # the worker goes on to other stages
+        gc.enable()
 
 
 def _cut(batches: Iterable[pa.RecordBatch], encoder: Encoder, length: int) -> Iterator[pa.RecordBatch]:
     end = np.array([SEPARATOR], "<u4").tobytes()
     for batch in batches:
         out: list[tuple] = []
-        for lo in range(0, batch.num_rows, 256):
-            part = batch.slice(lo, 256)
+        for lo in range(0, batch.num_rows, 1024):
+            part = batch.slice(lo, 1024)
             for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * length)):
