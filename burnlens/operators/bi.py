@@ -9,11 +9,11 @@ aggregate, so it sees at most networks x format groups rows per date.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burnlens.functions import constants as K
-from burnlens.functions.columns import dsum, ratio, rnd, to_monday
+from burnlens.functions.columns import dsum, ratio, rnd, running, to_monday
 from burnlens.operators.cohort import cohort_wide_sums
 
 # ------------------------------------------------------- creative burnout page
@@ -192,16 +192,34 @@ def skan_kpis(postbacks: DataFrame, ads: DataFrame) -> DataFrame:
 
 # -------------------------------------------- analyses claimed by the README
 
+def day_counts(rows: DataFrame, by: str, day: str) -> DataFrame:
+    """(by, day, n): a histogram that days, loads or regions can be added up
+    in, and from which quantiles are exact."""
+    return rows.groupBy(by, F.col(day).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def day_summary(counts: DataFrame, by: str) -> DataFrame:
+    """(by, rows, mean, median) from ``day_counts``: the exact median by a running sum over
+    the days (calendar many), so no task holds a value per row. NULL days
+    count as rows only."""
+    known = F.col("day").isNotNull()
+    upto = F.sum(F.when(known, F.col("n"))).over(running([by], ["day"]))
+    total = F.sum(F.when(known, F.col("n"))).over(Window.partitionBy(by))
+    held = counts.select("*", upto.alias("__upto"), total.alias("__total"))
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(known & (F.col("__upto") >= rank), F.col("day")))
+    return held.groupBy(by).agg(
+        F.sum("n").alias("rows"),
+        (F.sum(F.col("day") * F.col("n")).cast("double") / F.sum(F.when(known, F.col("n")))).alias("mean"),
+        ((at(F.floor((F.col("__total") + 1) / 2)) + at(F.floor(F.col("__total") / 2) + 1)) / F.lit(2.0)).alias("median"))
+
+
 def rotation_schedule(burnout_events: DataFrame, creatives: DataFrame) -> DataFrame:
     """Suggested rotation day per format: exact median burnout day of life."""
-    return (
-        burnout_events.join(creatives.select("creative_id", "format"), "creative_id")
-        .groupBy("format")
-        .agg(
-            F.count(F.lit(1)).alias("burnt_creatives"),
-            F.median("burnout_day_of_life").alias("rotation_day"),
-        )
-    )
+    joined = burnout_events.join(creatives.select("creative_id", "format"), "creative_id")
+    return day_summary(day_counts(joined, "format", "burnout_day_of_life"), "format").select(
+        "format", F.col("rows").alias("burnt_creatives"), F.col("median").alias("rotation_day"))
 
 
 def post_burnout_cpi_inflation(burnout: DataFrame) -> DataFrame:
@@ -236,12 +254,6 @@ def traffic_mix(metrics: DataFrame) -> DataFrame:
 
 
 def peak_day_by_format(peaks: DataFrame, creatives: DataFrame) -> DataFrame:
-    return (
-        peaks.join(creatives.select("creative_id", "format"), "creative_id")
-        .groupBy("format")
-        .agg(
-            F.count(F.lit(1)).alias("creatives"),
-            rnd(F.avg("peak_day_of_life"), 2).alias("avg_peak_day_of_life"),
-            F.median("peak_day_of_life").alias("median_peak_day_of_life"),
-        )
-    )
+    joined = peaks.join(creatives.select("creative_id", "format"), "creative_id")
+    return day_summary(day_counts(joined, "format", "peak_day_of_life"), "format").select(
+        "format", F.col("rows").alias("creatives"), rnd("mean", 2).alias("avg_peak_day_of_life"), F.col("median").alias("median_peak_day_of_life"))

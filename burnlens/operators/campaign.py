@@ -9,7 +9,7 @@ arrives at the window as one row per day.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burnlens.functions import constants as K
@@ -35,11 +35,10 @@ def cpi_trend_ratio(cpi: Column, prior_avg: Column) -> Column:
 
 
 def campaign_daily(ads: DataFrame, campaigns: DataFrame) -> DataFrame:
-    camp = campaigns.select("campaign_id", "campaign_name", "objective", "daily_budget_usd")
-    return (
-        ads.join(camp, "campaign_id")
-        .groupBy("stat_date", "campaign_id", "network", "country",
-                 "campaign_name", "objective", "daily_budget_usd")
+    """Daily totals by ids; the campaign's texts are joined to the totals, so
+    none goes through the shuffles of the distinct count."""
+    totals = (
+        ads.groupBy("stat_date", "campaign_id", "network", "country")
         .agg(
             F.sum("impressions").alias("impressions"),
             F.sum("clicks").alias("clicks"),
@@ -47,8 +46,13 @@ def campaign_daily(ads: DataFrame, campaigns: DataFrame) -> DataFrame:
             F.sum("installs").alias("installs"),
             F.countDistinct("creative_id").alias("active_creatives"),
         )
+    )
+    camp = campaigns.select("campaign_id", "campaign_name", "objective", "daily_budget_usd")
+    return (
+        totals.join(camp, "campaign_id")
         .select(
-            "*",
+            "stat_date", "campaign_id", "network", "country", "campaign_name", "objective", "daily_budget_usd",
+            "impressions", "clicks", "spend_usd", "installs", "active_creatives",
             rnd(ratio("clicks", "impressions"), 6).alias("blended_ctr"),
             rnd(ratio("spend_usd", "installs"), 4).alias("blended_cpi_usd"),
             rnd(ratio("spend_usd", "impressions") * 1000, 4).alias("blended_cpm_usd"),
@@ -57,6 +61,33 @@ def campaign_daily(ads: DataFrame, campaigns: DataFrame) -> DataFrame:
     )
 
 
+BITMAP = 32768  # bits of a bitmap of the built-in functions
+
+
+def creative_codes(ads: DataFrame) -> DataFrame:
+    """(campaign_id, creative_id, code): creatives numbered within their campaign."""
+    known = ads.select("campaign_id", "creative_id").where("creative_id IS NOT NULL").distinct()
+    return known.select("*", (F.row_number().over(Window.partitionBy("campaign_id").orderBy("creative_id")) - 1).alias("code"))
+
+
+def active_state(ads: DataFrame, codes: DataFrame) -> DataFrame:
+    """(stat_date, campaign_id, network, country, bucket, creatives): the daily
+    rows' active creatives as bitmaps of their codes. A distinct count can't be added
+    up over days; a bitmap can."""
+    return (ads.select("stat_date", "campaign_id", "network", "country", "creative_id").join(codes, ["campaign_id", "creative_id"])
+            .groupBy("stat_date", "campaign_id", "network", "country", F.floor(F.col("code") / BITMAP).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.pmod("code", F.lit(BITMAP))).alias("creatives")))
+
+
+def active_creatives(state: DataFrame, *grain) -> DataFrame:
+    """Exact numbers of active creatives by ``grain`` (columns; the campaign is
+    always among the result's keys), from ``active_state`` rows alone."""
+    keys = [g if isinstance(g, Column) else F.col(g) for g in grain]
+    whole = state.groupBy("campaign_id", "bucket", *keys).agg(F.bitmap_or_agg("creatives").alias("creatives"))
+    names = [c for c in whole.columns if c not in ("bucket", "creatives")]
+    return whole.groupBy(*names).agg(F.sum(F.bitmap_count("creatives")).alias("active_creatives"))
+
+
 def campaign_performance(ads: DataFrame, campaigns: DataFrame) -> DataFrame:
     """mart_campaign_performance: one row per (stat_date, campaign, network, country)."""
     daily = campaign_daily(ads, campaigns)

@@ -898,6 +898,14 @@ query("refresh_weekly", _refresh((
 # data quality
 sel("dq_not_null", "dq_not_null_q")
 sel("dq_unique", "dq_unique_q")
+query("dq_unique_append", """
+SELECT * FROM dq_unique_q WHERE test_name IN ('unique_skan_postbacks_postback_id', 'unique_iap_events_event_id')""")
+query("agg_active_creatives", """
+SELECT 'day' AS grain, stat_date AS period, campaign_id, count(DISTINCT creative_id) AS active_creatives FROM stg_ad_stats GROUP BY ALL
+UNION ALL
+SELECT 'week', CAST(date_trunc('week', stat_date) AS DATE), campaign_id, count(DISTINCT creative_id) FROM stg_ad_stats GROUP BY ALL
+UNION ALL
+SELECT 'all', NULL, campaign_id, count(DISTINCT creative_id) FROM stg_ad_stats GROUP BY ALL""")
 sel("dq_accepted_values", "dq_accepted_q")
 sel("dq_relationships", "dq_relationships_q")
 sel("dq_burnout_score_range", "dq_score_q")

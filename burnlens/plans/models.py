@@ -153,12 +153,13 @@ class Models:
 LOAD_TESTS = "load_tests"
 
 
-def load_raw(raw: dict[str, DataFrame], database: str) -> None:
+def load_raw(raw: dict[str, DataFrame], database: str, rejected: dict[str, int] | None = None, max_bad_share: float = 0.0) -> None:
     """Ingest: write each raw table with its layout (month partitions for the
     facts, sort key within files) and the time of the load. Idempotent: every
     table is replaced by a new version, and all are published together at the
     end. The row tests are counted by the writing tasks (``load_tests``: table_name, test_name,
-    n_rows), so the data tests need no scan for them."""
+    n_rows), so the data tests need no scan for them. ``rejected``: lines of each
+    table that weren't rows; a share above ``max_bad_share`` in any table refuses the whole load."""
     spark = raw[RAW_TABLES[0]].sparkSession
     staged, counted = [], []
     try:
@@ -167,6 +168,10 @@ def load_raw(raw: dict[str, DataFrame], database: str) -> None:
             staged.append(tables.stage(files.with_loaded_at(raw[t]), f"{database}.{t}", files.raw_layout(t),
                                        observe=(seen, quality.row_metrics(t))))
             counted += [(t, name, n) for name, n in seen.get.items()]
+            bad, good = (rejected or {}).get(t, 0), seen.get[f"rows_{t}"]
+            if bad > max_bad_share * (bad + good):
+                raise files.TooManyBadLines(f"{t}: {bad} of {bad + good} lines are no rows of it")
+            counted.append((t, f"rejected_{t}", bad))
         staged.append(tables.stage(spark.createDataFrame(counted, "table_name string, test_name string, n_rows long").coalesce(1),
                                    f"{database}.{LOAD_TESTS}"))
     except BaseException:

@@ -222,20 +222,32 @@ def databases(spark: SparkSession, prefix: str, location: str | None = None) ->
     return tuple(tables.create_database(spark, f"{prefix}_{x}", f"{location}/{x}" if location else None) for x in ("raw", "models"))
 
 
-def load_csv(spark: SparkSession, csv_root: str, database: str) -> DataFrame:
-    """Load the five raw tables from their CSV files (``csv_root``/<table>);
-    returns (table_name, row_count) as the load counted them."""
-    load_raw({t: files.read_raw_csv(spark, f"{csv_root}/{t}", t) for t in RAW_TABLES}, database)
+MAX_BAD_SHARE = 0.01
+
+
+def load_csv(spark: SparkSession, csv_root: str, database: str, max_bad_share: float = MAX_BAD_SHARE) -> DataFrame:
+    """Load the five raw tables from their CSV files (``csv_root``/<table>).
+    Lines that aren't rows of their table go to ``rejected_lines`` (table_name, file, line); a
+    table with more than ``max_bad_share`` of them refuses the load, and the lines can be looked at.
+    Returns (table_name, row_count, rejected) as the load counted them."""
+    bad = None
+    for t in RAW_TABLES:
+        part = files.rejected_lines(spark, f"{csv_root}/{t}", t)
+        bad = part if bad is None else bad.unionByName(part)
+    tables.replace(bad, f"{database}.rejected_lines")
+    rejected = {r["table_name"]: r["n"] for r in tables.read(spark, f"{database}.rejected_lines")
+                .groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a table
+    load_raw({t: files.read_raw_csv(spark, f"{csv_root}/{t}", t) for t in RAW_TABLES}, database, rejected, max_bad_share)
     rows = load_tests(spark, database)
-    return spark.createDataFrame([(t, rows[f"rows_{t}"]) for t in RAW_TABLES], "table_name string, row_count long")
+    return spark.createDataFrame([(t, rows[f"rows_{t}"], rows[f"rejected_{t}"]) for t in RAW_TABLES], "table_name string, row_count long, rejected long")
 
 
 def run_daily(spark: SparkSession, csv_root: str, prefix: str, as_of: dt.date | None = None, on_failure: str = "raise",
-              location: str | None = None) -> tuple[DataFrame, DataFrame]:
+              location: str | None = None, max_bad_share: float = MAX_BAD_SHARE) -> tuple[DataFrame, DataFrame]:
     """The whole daily job: load, staging, intermediate models, marts, tests.
     Returns the loaded row counts and the run summary."""
     raw, out = databases(spark, prefix, location)
-    loaded = load_csv(spark, csv_root, raw)
+    loaded = load_csv(spark, csv_root, raw, max_bad_share)
     return loaded, refresh_daily(spark, Models.from_tables(spark, raw, as_of=as_of), out, out, on_failure)
 
 

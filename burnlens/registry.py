@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from burnlens.functions.columns import month_key, ratio, rnd, safe_divide, to_monday
 from burnlens.operators import bi, campaign, cohort, creative, quality, skan
 from burnlens.operators import staging as stg
-from burnlens.plans import refresh
+from burnlens.plans import append, refresh
 from burnlens.plans.models import DEFAULT_AS_OF, Models
 from burnlens.session import scratch_path
 from burnlens.sources import files, tables
-from burnlens.sources.schemas import AD_DAILY_STATS, RAW_SCHEMAS, SORT_KEYS
+from burnlens.sources.schemas import AD_DAILY_STATS, MONTH_PARTITION, RAW_SCHEMAS, SORT_KEYS
 from burnlens.streaming import incremental as inc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,6 +281,19 @@ REGISTRY.update({
 })
 
 
+@register("agg_active_creatives")
+def _agg_active_creatives(spark, sf):
+    """Active creatives of each campaign by day, week and in all, from one state of daily rows."""
+    ads = M(spark, sf).stg_ad_stats
+    state = campaign.active_state(ads, campaign.creative_codes(ads))
+    grains = {"day": F.col("stat_date"), "week": to_monday("stat_date"), "all": F.lit(None).cast("date")}
+    out = None
+    for grain, period in grains.items():
+        part = campaign.active_creatives(state, period.alias("period")).select(F.lit(grain).alias("grain"), "period", "campaign_id", "active_creatives")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("agg_campaign_daily")
 def _agg_campaign_daily(spark, sf):
     m = M(spark, sf)
@@ -551,6 +564,19 @@ def _dq_unique(spark, sf):
     return quality.dq_unique(M(spark, sf).raw)
 
 
+@register("dq_unique_append")
+def _dq_unique_append(spark, sf):
+    """The facts' uniqueness tests after a load and an append from
+    INCREMENTAL_CUTOFF's month on: the appended keys meet the Bloom filters of the months before."""
+    db, raw = tables.scratch_database(spark, "append"), M(spark, sf).raw
+    for t in append.KEYS:
+        date_col = F.col(MONTH_PARTITION[t])
+        tables.replace(files.with_loaded_at(raw[t].where(date_col < F.lit(INCREMENTAL_CUTOFF))), f"{db}.{t}", files.raw_layout(t))
+        append.index_keys(spark, db, t)
+        append.append_facts(raw[t].where(date_col >= F.lit(INCREMENTAL_CUTOFF)), db, t, INCREMENTAL_CUTOFF)
+    return append.unique_failures(spark, db)
+
+
 @register("dq_accepted_values")
 def _dq_accepted(spark, sf):
     return quality.dq_accepted_values(M(spark, sf).raw)

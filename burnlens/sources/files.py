@@ -47,18 +47,42 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A raw table's CSV files, columns matched by name: the header gives their
-    order, columns that the table lacks are left out, a missing one is an
-    error, and so is a file with another header than the first."""
+BAD_LINE = "_bad_line"
+REJECTED = "table_name string, file string, line string, parsed string"
+
+
+class TooManyBadLines(ValueError):
+    """More lines than allowed aren't rows of their table; nothing was loaded."""
+
+
+def _raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Every line of a raw table's CSV files: columns matched by name (the header
+    gives their order), BAD_LINE the line itself if it isn't a row of them. A missing
+    column is an error, and so is a file with another header than the first."""
     wanted = RAW_SCHEMAS[table]
     header = spark.read.option("header", True).csv(path).columns
     missing = [f.name for f in wanted if f.name not in header]
     if missing:
         raise ValueError(f"{table}: the CSV files at {path} have no column {', '.join(missing)}")
     types = {f.name: f.dataType for f in wanted}
-    given = T.StructType([T.StructField(c, types.get(c, T.StringType()), True) for c in header])
-    return read_csv(spark, path, given).select(*wanted.fieldNames())
+    given = T.StructType([*[T.StructField(c, types.get(c, T.StringType()), True) for c in header], T.StructField(BAD_LINE, T.StringType(), True)])
+    return (spark.read.schema(given).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD_LINE).csv(path))
+
+
+def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The good rows of a raw table's CSV files; ``rejected_lines`` has the others."""
+    return _raw_csv(spark, path, table).where(F.col(BAD_LINE).isNull()).select(*RAW_SCHEMAS[table].fieldNames())
+
+
+def rejected_lines(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """REJECTED: lines with a wrong number of values, or a value not of its
+    column's type; ``parsed`` is what could be read of them, as JSON (all columns are
+    read, as only those are checked)."""
+    rows = _raw_csv(spark, path, table)
+    parsed = F.to_json(F.struct(*[c for c in rows.columns if c != BAD_LINE]))
+    return (rows.select("*", F.col("_metadata.file_path").alias("file")).where(F.col(BAD_LINE).isNotNull())
+            .select(F.lit(table).alias("table_name"), "file", F.col(BAD_LINE).alias("line"), parsed.alias("parsed")))
 
 
 def with_loaded_at(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:

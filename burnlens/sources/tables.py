@@ -214,12 +214,14 @@ def partitions(spark: SparkSession, version_table: str) -> list[str]:
 
 def months_before(spark: SparkSession, name: str, since: dt.date) -> dict[str, str]:
     """Folder of each month of the published version that ends before ``since``'s month."""
-    held, out = version(spark, name), {}
-    for m in partitions(spark, held):
-        if m < since.strftime("%Y%m"):
-            told = spark.sql(f"DESCRIBE TABLE EXTENDED {held} PARTITION (`{MONTH}`={_quoted(m)})").collect()
-            out[m] = next(r["data_type"] for r in told if r["col_name"] == "Location")
-    return out
+    held = version(spark, name)
+    return {m: folder(spark, held, m) for m in partitions(spark, held) if m < since.strftime("%Y%m")}
+
+
+def folder(spark: SparkSession, version_table: str, month: str) -> str:
+    """Where a month's files are."""
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {version_table} PARTITION (`{MONTH}`={_quoted(month)})").collect()
+    return next(r["data_type"] for r in told if r["col_name"] == "Location")
 
 
 def latest(spark: SparkSession, version_table: str, date_col: str) -> dt.date | None:
