@@ -10,7 +10,9 @@ with the largest page_id is the response, the others revisit it; shorter
 payloads are always responses. Repeated rows of that page_id are responses too.
 
 Contract cases: NULL html is the empty payload; an empty table gives an empty
-archive; extra columns are ignored; a NULL url gives an empty target URI.
+archive; extra columns are ignored; a NULL url gives an empty target URI; a NULL
+page_id has the record id "none": it revisits the response of its payload, and is
+one itself if no equal payload has an id. A very long page is one payload of a batch.
 
 Memory and skew: equal payloads are combined by max() before the shuffle, so a
 task sends each distinct payload once. The rebuilding join is on the digest, where Spark splits a hot digest's
@@ -33,6 +35,7 @@ REVISIT_BYTES = 1000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
+NO_ID = "none"  # in the record id of a page without one
 
 
 def _digests(batches: Iterable[pa.RecordBatch], keep: bool) -> Iterator[pa.RecordBatch]:
@@ -59,7 +62,7 @@ def digested(pages: DataFrame, keep: bool) -> DataFrame:
 def header_block() -> F.Column:
     """The WARC/1.1 header block of a record, up to and with the empty line."""
     revisit = F.col("refers_to").isNotNull()
-    rid = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
+    rid = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit(NO_ID)), F.lit(">"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     return F.concat(
         F.lit("WARC/1.1" + CRLF),
@@ -82,7 +85,7 @@ def write(pages: DataFrame, path: str) -> None:
      .select("digest", "keeper", "size", "packed").write.parquet(f"{path}/payloads"))
     keepers = spark.read.parquet(f"{path}/payloads").where(F.col("size") >= REVISIT_BYTES).select("digest", "keeper")
     (digested(pages, False).drop("packed").join(keepers, "digest", "left")
-     .withColumn("refers_to", F.when(F.col("keeper") != F.col("page_id"), F.col("keeper")))
+     .withColumn("refers_to", F.when(~F.col("keeper").eqNullSafe(F.col("page_id")), F.col("keeper")))
      .select("digest", F.encode(header_block(), "utf-8").alias("header"))
      .write.parquet(f"{path}/headers"))
 
@@ -106,7 +109,8 @@ def _parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for header, packed in zip(batch.column("header").to_pylist(), batch.column("packed").to_pylist()):
             lines = header.decode("utf-8").split(CRLF)
             fields = dict(x.split(": ", 1) for x in lines[1:] if x)
-            page, kind = int(fields["WARC-Record-ID"][10:-1]), fields["WARC-Type"]
+            page, kind = fields["WARC-Record-ID"][10:-1], fields["WARC-Type"]
+            page = None if page == NO_ID else int(page)
             if packed is None:
                 raise ValueError(f"record {page}: payload {fields['WARC-Payload-Digest']} is not in the archive")
             payload = unpack.decompress(packed)

@@ -63,8 +63,8 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
              max(page_id) OVER (PARTITION BY h) AS newest FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 1000 AND newest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND newest <> page_id THEN newest END AS refers_to
+       CASE WHEN payload_bytes >= 1000 AND newest IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND newest IS DISTINCT FROM page_id THEN newest END AS refers_to
 FROM d
 """
 

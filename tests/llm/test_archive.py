@@ -48,6 +48,15 @@ def test_copies_and_odd_pages(spark):
     assert A.round_trip(pages(spark, [])).count() == 0
 
 
+def test_pages_without_an_id(spark):
+    big, alone = "b" * 1500, "a" * 1500
+    rows = [(None, "u", big), (4, "u", big), (None, "u", alone), (None, "u", alone), (None, None, None), (3, "u", big)]
+    got = result(A.round_trip(pages(spark, rows)))
+    kinds = [(r[0], r[1], r[3], r[4]) for r in got]
+    assert sorted(kinds, key=str) == sorted([(None, 1500, "revisit", 4), (4, 1500, "response", None), (None, 1500, "response", None), (None, 1500, "response", None),
+                                             (None, 0, "response", None), (3, 1500, "revisit", 4)], key=str)
+
+
 def test_payloads_are_stored_once_and_verified(spark):
     path = scratch_path(spark, "archive_test")
     A.write(pages(spark, [(i, "u", "p" * 2000) for i in range(20)] + [(20, "u", "q" * 2000)]), path)
