@@ -53,7 +53,7 @@ LIMIT = 2
 BLOCK = 64
 SHARDS = 256
 SEED = 20240607
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 SLOTS_A_TASK = 1 << 18
 ROUNDS = 6
 ROUND_KEYS = np.arange(1, ROUNDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
