@@ -16,6 +16,10 @@ from burnlens.llm import classifier, decontamination, line_dedup, ngram_join, pa
 from burnlens.llm.common import materialise, table
 
 
+#: Near duplicates: Jaccard similarity over word shingles (op6 has its contract's own values).
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def _by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Rows of ``docs`` whose doc_id is (left_semi) or isn't (left_anti) among
     ``ids``; a list of ids known to be small goes to the executors."""
@@ -39,7 +43,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the least id stays."""
-    gone = ngram_join.join(docs).where(F.col("component_id") != F.col("doc_id"))
+    gone = ngram_join.join(docs, percent=NEAR_PERCENT, words=NEAR_WORDS).where(F.col("component_id") != F.col("doc_id"))
     return _by_id(docs, gone, "left_anti")
 
 

@@ -62,7 +62,7 @@ def test_stages(spark):
             assert all(set(after[i].split("\n")) <= set(before[i].split("\n")) for i in after)
             assert out.where(F.length("text") != F.col("n_chars")).join(docs.select("doc_id", F.col("text").alias("was")), "doc_id").where("text != was").count() == 0
         if name == "ngram_jaccard_join":
-            groups = {r.doc_id: r.component_id for r in ngram_join.join(docs).collect()}
+            groups = {r.doc_id: r.component_id for r in ngram_join.join(docs, percent=80, words=5).collect()}
             assert set(after) == set(groups.values())
         if name == "benchmark_decontamination":
             leaks = {r.doc_id for r in decontamination.leaks(docs, table(spark, SF, "benchmark")).collect()}
