@@ -2,8 +2,8 @@
 
 Every write makes a *version*: an external Parquet table of its own
 (``db.name__<id>``) whose files go to a fresh folder. ``publish`` then points
-the view ``db.name`` at it (CREATE OR REPLACE VIEW, one change in the
-catalogue). So a failed or repeated write leaves the published version as it was,
+the view ``db.name`` at it (ALTER VIEW, one change in the catalogue; CREATE OR
+REPLACE VIEW would drop the view first). So a failed or repeated write leaves the published version as it was,
 a reader sees one version, and of two writers one wins whole. Layout (month
 partitions, buckets, sort order) is the version table's, so readers of the view prune
 partitions and use buckets.
@@ -33,7 +33,7 @@ from burnlens.session import scratch_path
 
 MONTH = "ym"
 NO_MONTH = "none"  # rows without a date
-VERSION, PREVIOUS = "burnlens.version", "burnlens.previous"
+PREVIOUS = "burnlens.previous"  # of a view: the version before the published one
 
 
 class NoTable(LookupError):
@@ -147,22 +147,27 @@ def discard(spark: SparkSession, staged: Staged) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {staged.version}")
 
 
-def _property(spark: SparkSession, name: str, key: str) -> str | None:
+def _previous(spark: SparkSession, name: str) -> str | None:
     for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect():
-        if r["key"] == key:
+        if r["key"] == PREVIOUS:
             return r["value"]
     return None
 
 
 def publish(spark: SparkSession, staged: Staged) -> None:
     """Make the version the one that readers of the name see."""
-    held = version(spark, staged.name) if exists(spark, staged.name) else None
-    gone = _property(spark, staged.name, PREVIOUS) if held else None
-    columns = ", ".join(f"`{c}`" for c in staged.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {staged.name} TBLPROPERTIES ('{VERSION}' = '{staged.version}'"
-              + (f", '{PREVIOUS}' = '{held}'" if held else "") + f") AS SELECT {columns} FROM {staged.version}")
-    if gone and gone != held:
-        spark.sql(f"DROP TABLE IF EXISTS {gone}")
+    name, columns = staged.name, ", ".join(f"`{c}`" for c in staged.columns)
+    rows = f"SELECT {columns} FROM {staged.version}"
+    held = version(spark, name) if exists(spark, name) else None
+    if held is None:
+        spark.sql(f"CREATE VIEW IF NOT EXISTS {name} AS {rows}")
+    if version(spark, name) != staged.version:
+        spark.sql(f"ALTER VIEW {name} AS {rows}")
+    if held is not None:
+        gone = _previous(spark, name)
+        spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ('{PREVIOUS}' = '{held}')")
+        if gone and gone not in (held, version(spark, name)):
+            spark.sql(f"DROP TABLE IF EXISTS {gone}")
 
 
 def replace(df: DataFrame, name: str, layout: Layout = Layout(), keep: dict[str, str] | None = None) -> None:
@@ -180,10 +185,10 @@ def version(spark: SparkSession, name: str) -> str:
     """The version table behind a published name."""
     if not exists(spark, name):
         raise NoTable(name)
-    found = _property(spark, name, VERSION)
-    if found is None:
-        raise NoTable(f"{name} wasn't published here")
-    return found
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+        if r["col_name"] == "View Text" and (found := re.search(rf" FROM ({re.escape(name)}__[0-9a-f]+)$", r["data_type"])):
+            return found[1]
+    raise NoTable(f"{name} wasn't published here")
 
 
 def _cut(df: DataFrame, since: dt.date | None, date_col: str | None) -> DataFrame:
