@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from burnlens.llm import decontamination as D
 from tests_llm_prose import prose
 
@@ -45,6 +47,25 @@ def test_a_leak_copied_to_a_third_of_the_rows(spark, make_docs):
     assert got == {(i, 1) for i in range(40)}
 
 
+@pytest.mark.parametrize("n_items, lengths", [(40, (8, 12, 40, 400)), (2000, (8, 12, 40))])
+def test_recall_by_length_and_number_of_items(spark, n_items, lengths):
+    """Verbatim stretches of documents as items: each document is found again."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    r = random.Random(n_items)
+    held = [(x.doc_id, x.text.split()) for x in docs.orderBy("doc_id").collect() if len(x.text.split()) >= 420]
+    rows, of = [], {}
+    for i in range(n_items):
+        doc, words = held[r.randrange(len(held))]
+        n = lengths[i % len(lengths)]
+        at = r.randrange(len(words) - n)
+        rows.append((i, " ".join(words[at:at + n])))
+        of[i] = doc, n
+    got = pairs(docs, items(spark, rows))
+    for n in lengths:
+        mine = [i for i in of if of[i][1] == n]
+        assert sum((of[i][0], i) in got for i in mine) >= 0.98 * len(mine), n
+
+
 def test_lcs_is_exact():
     r = random.Random(5)
     for _ in range(100):
