@@ -20,6 +20,22 @@ COHORT = ["install_date", "campaign_id", "creative_id"]
 SOURCE = ["network", "country"]
 
 
+def cohort_ads(ads: DataFrame) -> DataFrame:
+    """Ad rows summed by (stat_date, campaign, creative, network, country), rows
+    with and without installs apart: ad rows in shape, at most three for a key. Every
+    model by these keys or coarser ones gives the same from these rows as
+    from all, as they add up only sums (of decimals), distinct creatives and rows with installs."""
+    return (
+        ads.groupBy("stat_date", "campaign_id", "creative_id", "network", "country", (F.col("installs") > 0).alias("has_installs"))
+        .agg(
+            F.sum("impressions").alias("impressions"),
+            F.sum("clicks").alias("clicks"),
+            F.sum("installs").alias("installs"),
+            dsum("spend_usd").alias("spend_usd"),
+        )
+    )
+
+
 def cohort_dims_join(ads: DataFrame, creatives: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Ad days with installs, with campaign objective and creative format."""
     return (
@@ -206,18 +222,18 @@ CAMPAIGN_KEYS = ["campaign_id", "network", "country"]
 
 
 def campaign_cohorts(installs: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Cohorts rolled up per campaign: installs, spend and CAC."""
+    """Cohorts rolled up per campaign: installs, spend and CAC. The campaign's
+    texts are joined to the sums, so none goes through the shuffle."""
     keys = CAMPAIGN_KEYS
+    camp = campaigns.select("campaign_id", "campaign_name", "objective", "daily_budget_usd")
     return (
-        installs.select(*keys, "cohort_installs", "cohort_spend_usd").join(
-            campaigns.select("campaign_id", "campaign_name", "objective", "daily_budget_usd"),
-            "campaign_id",
-        )
-        .groupBy(*keys, "campaign_name", "objective", "daily_budget_usd")
+        installs.groupBy(*keys)
         .agg(
             F.sum("cohort_installs").alias("total_installs"),
             dsum("cohort_spend_usd").alias("total_spend_usd"),
         )
+        .join(camp, "campaign_id")
+        .select(*keys, "campaign_name", "objective", "daily_budget_usd", "total_installs", "total_spend_usd")
         .withColumn("cac_usd", rnd(ratio("total_spend_usd", "total_installs"), 4))
     )
 

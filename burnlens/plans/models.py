@@ -70,6 +70,12 @@ class Models:
     def stg_iap_events(self) -> DataFrame:
         return staging.stg_iap_events(self.raw["iap_events"])
 
+    @cached_property
+    def ad_rows(self) -> DataFrame:
+        """What the cohort, campaign and SKAN models sum: the staged ad rows. A job
+        puts their sums by cohort key here (``cohort.cohort_ads``), written once for all of them."""
+        return self.stg_ad_stats
+
     # -------------------------------------------------------- intermediate
     @cached_property
     def int_creative_daily_metrics(self) -> DataFrame:
@@ -85,7 +91,7 @@ class Models:
 
     @cached_property
     def int_cohort_installs(self) -> DataFrame:
-        return cohort.cohort_installs(self.stg_ad_stats, self.stg_creatives, self.stg_campaigns)
+        return cohort.cohort_installs(self.ad_rows, self.stg_creatives, self.stg_campaigns)
 
     @cached_property
     def int_daily_revenue(self) -> DataFrame:
@@ -110,7 +116,7 @@ class Models:
 
     @cached_property
     def mart_campaign_performance(self) -> DataFrame:
-        return campaign.campaign_performance(self.stg_ad_stats, self.stg_campaigns)
+        return campaign.campaign_performance(self.ad_rows, self.stg_campaigns)
 
     @cached_property
     def mart_cohort_analysis(self) -> DataFrame:
@@ -128,14 +134,14 @@ class Models:
         # fewer).
         revenue = (self.int_cohort_revenue if self.denominator == "first_cohort"
                    else self.revenue_events)
-        installs = cohort.install_rows(self.stg_ad_stats, self.stg_creatives, self.stg_campaigns)
+        installs = cohort.install_rows(self.ad_rows, self.stg_creatives, self.stg_campaigns)
         return cohort.unit_economics(
             installs, revenue, self.stg_campaigns, denominator=self.denominator,
         )
 
     @cached_property
     def mart_skan_attribution(self) -> DataFrame:
-        return skan.skan_attribution(self.int_skan_cv_mapping, self.stg_ad_stats, self.stg_campaigns)
+        return skan.skan_attribution(self.int_skan_cv_mapping, self.ad_rows, self.stg_campaigns)
 
     MARTS = (
         "mart_creative_burnout", "mart_campaign_performance", "mart_cohort_analysis",

@@ -8,7 +8,9 @@ Each materialised model is written as a new version of its catalogue table, and
 the models downstream of it read the written version: the lineage is cut at
 every layer, so a lost executor recomputes one layer, not the whole graph. The
 daily metrics are bucketed by creative_id, so the three models that
-read them (peaks, burnout events, burnout mart) run without a shuffle.
+read them (peaks, burnout events, burnout mart) run without a shuffle. The ad rows
+are summed by cohort key once for the cohort, campaign and SKAN models; that table and the
+SKAN mapping are bucketed by the five keys, so their full outer join runs without one too.
 
 A daily run after another one is incremental for the creative models: it reads the
 state of each creative (``operators.creative_state``) as it was 14 days before
@@ -22,6 +24,7 @@ Models are not changed.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import time
 
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burnlens.functions import constants as K
-from burnlens.operators import creative_state, quality
+from burnlens.operators import cohort, creative_state, quality, skan
 from burnlens.plans.models import RAW_TABLES, Models, load_raw, load_tests
 from burnlens.sources import files, tables
 from burnlens.streaming import incremental as inc
@@ -39,6 +42,9 @@ from burnlens.streaming import incremental as inc
 # are in the order of their reports, so date filters skip files and row groups.
 LAYOUTS = {
     "int_creative_daily_metrics": tables.Layout(month_of="stat_date", sort=("creative_id", "stat_date"), bucket=("creative_id", 16)),
+    # Both sides of the reconciliation, by its five keys: the full outer join reads them as they are.
+    "cohort_ads": tables.Layout(month_of="stat_date", bucket=(("stat_date", *skan.SKAN_KEYS[1:]), 16)),
+    "int_skan_cv_mapping": tables.Layout(month_of="install_date", bucket=(tuple(skan.SKAN_KEYS), 16)),
     "mart_creative_burnout": inc.BURNOUT_LAYOUT,
     "mart_campaign_performance": tables.Layout(month_of="stat_date", sort=("stat_date", "spend_usd")),
     "mart_skan_attribution": tables.Layout(month_of="install_date", sort=("install_date", "spend_usd")),
@@ -47,6 +53,10 @@ LAYOUTS = {
 }
 #: The state that the next run continues, and the first date that isn't in it.
 STATE = "creative_state"
+#: Ad sums by cohort key, and the models that read them instead of the ad rows.
+COHORT_ADS = "cohort_ads"
+COHORT_MODELS = ("int_cohort_installs", "int_cohort_revenue", "mart_campaign_performance", "mart_cohort_analysis",
+                 "mart_unit_economics", "mart_skan_attribution")
 CREATIVE_MODELS = ("int_creative_daily_metrics", "int_creative_peaks", "int_burnout_events", "mart_creative_burnout")
 
 
@@ -80,7 +90,7 @@ class Run:
     def layout(self, name: str) -> tables.Layout:
         found = LAYOUTS.get(name, tables.Layout())
         if self.buckets and found.bucket:
-            found = tables.Layout(found.month_of, found.by, found.sort, (found.bucket[0], self.buckets))
+            found = dataclasses.replace(found, bucket=(found.bucket[0], self.buckets))
         return found
 
     def add(self, name: str, write) -> DataFrame:
@@ -164,6 +174,8 @@ def materialise(spark: SparkSession, models: Models, names, database: str,
     try:
         if any(n in CREATIVE_MODELS for n in names):
             creative_models(run, names, previous)
+        if any(n in COHORT_MODELS for n in names):
+            run.models.__dict__["ad_rows"] = run.write(COHORT_ADS, cohort.cohort_ads(models.stg_ad_stats)).drop("has_installs")
         for name in names:
             if name not in CREATIVE_MODELS:
                 run.write(name, getattr(run.models, name))

@@ -43,11 +43,16 @@ class NoTable(LookupError):
 @dataclass(frozen=True)
 class Layout:
     """``month_of``: partitions by month of this date column; ``by``: partitions by this column
-    itself; ``sort``: order within each file; ``bucket``: (key, number)."""
+    itself; ``sort``: order within each file; ``bucket``: (key or keys, number)."""
     month_of: str | None = None
     by: str | None = None
     sort: tuple[str, ...] = ()
-    bucket: tuple[str, int] | None = None
+    bucket: tuple[str | tuple[str, ...], int] | None = None
+
+    @property
+    def bucket_keys(self) -> tuple[str, ...]:
+        keys = self.bucket[0] if self.bucket else ()
+        return (keys,) if isinstance(keys, str) else keys
 
     @property
     def partition(self) -> str | None:
@@ -101,8 +106,8 @@ def _create(spark: SparkSession, version: str, schema: T.StructType, layout: Lay
     if layout.partition:
         parts.append(f"PARTITIONED BY (`{layout.partition}`)")
     if layout.bucket:
-        key, n = layout.bucket
-        parts.append(f"CLUSTERED BY (`{key}`)" + (f" SORTED BY ({', '.join(f'`{c}`' for c in layout.sort)})" if layout.sort else "") + f" INTO {n} BUCKETS")
+        keys = ", ".join(f"`{k}`" for k in layout.bucket_keys)
+        parts.append(f"CLUSTERED BY ({keys})" + (f" SORTED BY ({', '.join(f'`{c}`' for c in layout.sort)})" if layout.sort else "") + f" INTO {layout.bucket[1]} BUCKETS")
     spark.sql(" ".join([*parts, f"LOCATION {_quoted(folder)}"]))
 
 
@@ -123,7 +128,7 @@ def stage(df: DataFrame, name: str, layout: Layout = Layout(), keep: dict[str, s
     _create(spark, staged.version, rows.schema, layout)
     try:
         if layout.bucket:
-            rows = rows.repartition(layout.bucket[1], layout.bucket[0])
+            rows = rows.repartition(layout.bucket[1], *layout.bucket_keys)
         else:
             rows = rebalance(rows, p) if p else rows
             order = [*([p] if p else []), *layout.sort]

@@ -77,6 +77,40 @@ def test_bucketed_metrics_feed_the_creative_models_without_shuffle(spark, models
     assert t.exceptAll(models.int_creative_daily_metrics).count() == 0
 
 
+def test_cohort_ads_are_summed_once_and_join_without_shuffle(spark, loaded):
+    """The job's models by cohort key read one bucketed table; the full outer join has no Exchange."""
+    from burnlens.operators import skan
+    from burnlens.plans import refresh
+    from burnlens.plans.models import Models
+    from burnlens.sources import tables
+    names = ("int_skan_cv_mapping", "int_cohort_installs", "mart_campaign_performance", "mart_unit_economics", "mart_skan_attribution")
+    run = refresh.materialise(spark, loaded, names, tables.scratch_database(spark, "cohort"), buckets=4)
+    rows = run.models.ad_rows
+    plan = physical(skan.reconcile(run.models.int_skan_cv_mapping.where("postback_sequence = 1"), skan.reported_installs(rows)))
+    assert "FullOuter" in plan and shuffles(plan) == 0, plan
+    lazy = Models(loaded.raw, loaded.as_of)
+    read = Models(loaded.raw, loaded.as_of)
+    read.__dict__.update(ad_rows=rows, int_skan_cv_mapping=run.models.int_skan_cv_mapping)
+    for name in names[1:]:
+        plan = physical(getattr(read, name))
+        assert "cohort_ads" in plan and "ad_daily_stats" not in plan, name
+        got, want = getattr(run.models, name), getattr(lazy, name)
+        assert got.columns == want.columns and got.count() == want.count() > 0, name
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), name
+
+
+def test_cohort_ads_keep_rows_without_installs_apart(spark, models):
+    """Two ad rows of one key, of which one has no installs: its spend isn't the cohort's."""
+    from burnlens.operators import cohort, skan
+    ads = models.stg_ad_stats
+    row = ads.where("installs > 0").orderBy("creative_id", "stat_date").first().asDict()
+    both = spark.createDataFrame([row, {**row, "installs": 0, "spend_usd": 7.0}, {**row, "installs": None}], ads.schema)
+    sums = cohort.cohort_ads(both)
+    assert sums.count() == 3
+    for model in (lambda a: cohort.cohort_installs(a, models.stg_creatives, models.stg_campaigns), skan.reported_installs):
+        assert model(sums).collect() == model(both).collect()
+
+
 def test_quality_summary_copies_no_row(loaded):
     from burnlens.operators import quality
     plan = physical(quality.dq_summary(loaded.raw, loaded.mart_creative_burnout, loaded.stg_ad_stats))
