@@ -9,9 +9,14 @@ PERCENT / 100. The join is exact:
    least id among them. Most near copies become one component here, so that
    large groups of them need no further comparison.
 3. Prefix filter: linked sets share an n-gram among the first
-   n - ceil(PERCENT% n) + 1 of either. N-grams whose sets all lie in one
+   n - ceil(PERCENT% n) + 1 of either. The order is by a fixed table of hashed counts
+   over all sets, rare n-grams first, so that few prefixes hold frequent ones (any one
+   order is right). N-grams whose sets all lie in one
    component are done. For the others the sets that share one are paired, by
-   position and length bounds, where they lie in different components. N-grams
+   position and length bounds, where they lie in different components and
+   their parity signatures allow a link: a bit tells whether the set has an
+   odd number of the n-grams that hash there, so each bit in which two
+   signatures differ is an n-gram that only one set has. N-grams
    of more than LIGHT sets (passages that many documents share) pair nothing:
    the documents that hold them go through the step again with these n-grams
    last in the order, which leaves their prefixes to rarer ones.
@@ -21,7 +26,7 @@ PERCENT / 100. The join is exact:
    overlap so far plus what remains of either set is too small.
 5. Components of all links.
 
-Before a pair's sets meet, bitmaps of a few bits per n-gram do: each bit in
+Before a pair's sets are compared, bitmaps of a few bits per n-gram do: each bit in
 which two differ is an n-gram that the sets don't share, which bounds the
 overlap from above. Only documents in candidate pairs are read again.
 
@@ -49,6 +54,7 @@ WORDS, PERCENT = 4, 85
 HASHES = 6
 AGREE = 4             # of HASHES, for a star link to be worth a comparison
 LIGHT = 64
+COUNTERS = 1 << 20    # of hashed n-gram counts, whatever the number of n-grams
 BROADCAST_IDS = 1_000_000      # at most 8 MB of ids go to the executors; beyond, a shuffled join
 BROADCAST_GRAMS = 1_000_000
 
@@ -95,8 +101,52 @@ def _describe(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.Reco
         low = [full(np.minimum.reduceat(mix(g * k), first)) if some.any() else a for k in keys]
         yield pa.RecordBatch.from_arrays(
             [rows.column(0), pa.array(n.astype(np.int64)), _signed(a), _signed(b),
-             pa.array([[int(x[i]) for x in map(lambda c: c.view(np.int64), low)] for i in range(len(n))], pa.list_(pa.int64()))],
-            names=["doc_id", "n", "fp", "fp2", "mins"])
+             pa.array([[int(x[i]) for x in map(lambda c: c.view(np.int64), low)] for i in range(len(n))], pa.list_(pa.int64())),
+             parities(g, at)],
+            names=["doc_id", "n", "fp", "fp2", "mins", "sig"])
+
+
+def parities(g: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Parity signature of each set, as 64-bit words: two to four bits per
+    n-gram, a power of two, 64 at least. The signature of half the size is the
+    exclusive or of the halves."""
+    out = []
+    for a, b in zip(at[:-1], at[1:]):
+        size = 1 << max(6, int(2 * (b - a) - 1).bit_length() if b > a else 6)
+        odd = np.bincount((g[a:b] & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out) if out else np.zeros(0, np.int64)))
+
+
+def differing(x: Column, y: Column) -> Column:
+    """Bits in which two parity signatures differ, the longer one folded; of
+    sizes that may link, one is at most twice the other."""
+    def folded(v: Column, other: Column) -> Column:
+        k = F.size(other)
+        return F.when(F.size(v) > k, F.zip_with(F.slice(v, F.lit(1), k), F.slice(v, k + 1, k), lambda p, q: p.bitwiseXOR(q))).otherwise(v)
+
+    each = F.zip_with(folded(x, y), folded(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(each, F.lit(0), lambda t, v: t + F.coalesce(v, F.lit(0)))
+
+
+def _count(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(COUNTERS, np.uint32)
+    for _, data, off in text_chunks(batches):
+        g, _ = gram_sets(data, off, words)
+        counts += np.bincount((g >> np.uint64(44)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+    yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], names=["counts"])
+
+
+def gram_counts(texts: DataFrame, words: int = WORDS) -> np.ndarray:
+    """Number of sets by the n-grams' leading bits: the tasks' tables, of one
+    fixed size, are added in a tree on the executors."""
+    parts = texts.mapInArrow(lambda b: _count(b, words), "counts binary").rdd.map(lambda r: np.frombuffer(bytes(r["counts"]), np.uint32))
+    n = parts.getNumPartitions()
+    while n > 1:
+        n = -(-n // 16)
+        parts = parts.mapPartitionsWithIndex(lambda i, xs, n=n: ((i % n, x) for x in xs)).reduceByKey(lambda a, b: a + b, n).values()
+    return reduce(lambda a, b: a + b, parts.collect(), np.zeros(COUNTERS, np.uint32))
 
 
 def _spread(v: np.ndarray, some: np.ndarray) -> np.ndarray:
@@ -106,8 +156,8 @@ def _spread(v: np.ndarray, some: np.ndarray) -> np.ndarray:
 
 
 def describe(texts: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n, fingerprint (fp, fp2) and min-hashes of every row."""
-    return texts.mapInArrow(lambda b: _describe(b, words), "doc_id long, n long, fp long, fp2 long, mins array<long>")
+    """doc_id, n, fingerprint (fp, fp2), min-hashes and parity signature of every row."""
+    return texts.mapInArrow(lambda b: _describe(b, words), "doc_id long, n long, fp long, fp2 long, mins array<long>, sig array<long>")
 
 
 def chosen(texts: DataFrame, ids: DataFrame) -> DataFrame:
@@ -233,16 +283,16 @@ def star_pairs(nodes: DataFrame, measure: Measure) -> DataFrame:
             .select(F.col("id").alias("a"), F.col("c.id").alias("b")).distinct())
 
 
-def _prefixes(batches: Iterable[pa.RecordBatch], words: int, measure: Measure, last: np.ndarray, times: int) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterable[pa.RecordBatch], words: int, measure: Measure, counts: np.ndarray, last: np.ndarray, times: int) -> Iterator[pa.RecordBatch]:
     """The first n-grams of each set, ``times`` as many as its prefix has (size
-    p); n-grams in ``last`` (sorted) come after all others."""
+    p), by ``counts``; n-grams in ``last`` (sorted) come after all others."""
     for rows, data, off in text_chunks(batches):
         g, at = gram_sets(data, off, words)
         n = np.diff(at)
-        if len(last) and len(g):
-            heavy = last[np.minimum(np.searchsorted(last, g), len(last) - 1)] == g
-            own = np.repeat(np.arange(len(n)), n)
-            g = g[np.lexsort((g, heavy, own))]
+        rank = counts[(g >> np.uint64(44)).astype(np.int64)].astype(np.int64)
+        if len(last):
+            rank += (last[np.minimum(np.searchsorted(last, g), len(last) - 1)] == g).astype(np.int64) << 32
+        g = g[np.lexsort((g, rank, np.repeat(np.arange(len(n)), n)))]
         p = np.minimum(measure.prefix(n), n)
         size, p = p, np.minimum(times * p, n)
         first = np.concatenate([[0], np.cumsum(p)])
@@ -255,12 +305,14 @@ def _prefixes(batches: Iterable[pa.RecordBatch], words: int, measure: Measure, l
 
 def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure: Measure, words: int = WORDS, light: int = LIGHT) -> Iterator[DataFrame]:
     """Candidate (a, b) in different components, a table per step (see 3.).
-    ``nodes``: id (the documents to join); ``parts``: id, component."""
+    ``nodes``: id, sig (the documents to join); ``parts``: id, component."""
+    spark = texts.sparkSession
+    counts = spark.sparkContext.broadcast(gram_counts(chosen(texts, nodes.select(F.col("id").alias("doc_id"))), words))
     last, demoted, times = np.zeros(0, np.uint64), None, 1
     todo = nodes.select(F.col("id").alias("doc_id"))
     while True:
         order = last
-        lists = chosen(texts, todo).mapInArrow(lambda b, o=order, k=times: _prefixes(b, words, measure, o, k), "doc_id long, n int, p int, grams array<long>")
+        lists = chosen(texts, todo).mapInArrow(lambda b, o=order, k=times: _prefixes(b, words, measure, counts.value, o, k), "doc_id long, n int, p int, grams array<long>")
         posted = lists.select("doc_id", "n", "p", F.posexplode("grams").alias("at", "gram"))
         several = posted.groupBy("gram").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x != y").select("gram")
         kept = (posted.join(several, "gram")
@@ -278,13 +330,15 @@ def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure:
         full = len(found) + len(last) > BROADCAST_GRAMS
         use = spread.select("gram") if full else spread.select("gram").join(new, "gram", "left_anti")
         lists = kept.where(F.col("at") < F.col("p")).join(use, "gram")
-        left = lists.select("gram", *(F.col(c).alias(c + "1") for c in ("doc_id", "n", "at", "component")))
-        right = lists.select("gram", *(F.col(c).alias(c + "2") for c in ("doc_id", "n", "at", "component")))
+        lists = lists.join(nodes.select(F.col("id").alias("doc_id"), "sig"), "doc_id")
+        left = lists.select("gram", *(F.col(c).alias(c + "1") for c in ("doc_id", "n", "at", "component", "sig")))
+        right = lists.select("gram", *(F.col(c).alias(c + "2") for c in ("doc_id", "n", "at", "component", "sig")))
         n1, n2, i, j = F.col("n1"), F.col("n2"), F.col("at1"), F.col("at2")
         bound = F.least(n1 - i, n2 - j) + F.least(i, j)
         yield (left.join(right, "gram")
                .where((F.col("doc_id1") < F.col("doc_id2")) & (F.col("component1") != F.col("component2"))
-                      & measure.sizes(n1, n2) & ((100 + measure.percent) * bound >= measure.percent * (n1 + n2)))
+                      & measure.sizes(n1, n2) & ((100 + measure.percent) * bound >= measure.percent * (n1 + n2))
+                      & ((100 + measure.percent) * (n1 + n2 - differing(F.col("sig1"), F.col("sig2"))) >= 2 * measure.percent * (n1 + n2)))
                .select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")))
         if full or not len(found):
             return
@@ -301,7 +355,7 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
     measure = Measure(percent)
     texts = id_text(docs)
     info = materialise(describe(texts, words), "sets_described")
-    same = info.where("n > 0").groupBy("fp", "fp2", "n").agg(F.min("doc_id").alias("id"), F.first("mins").alias("mins"))
+    same = info.where("n > 0").groupBy("fp", "fp2", "n").agg(F.min("doc_id").alias("id"), F.first("mins").alias("mins"), F.first("sig").alias("sig"))
     nodes = materialise(same, "nodes")
     links = materialise(verified(star_pairs(nodes, measure), texts, measure, words), "star_links")
     steps = [materialise(pairs, "prefix_pairs") for pairs in prefix_pairs(texts, nodes, components(links), measure, words)]

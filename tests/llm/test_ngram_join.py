@@ -52,7 +52,7 @@ def test_frequent_passages_and_near_copies(spark, make_docs, monkeypatch):
     parts = spark.createDataFrame([], "id long, component long")
     texts = N.id_text(docs)
     info = N.describe(texts).where("n > 0")
-    nodes = info.groupBy("fp", "fp2", "n").agg({"doc_id": "min"}).withColumnRenamed("min(doc_id)", "id")
+    nodes = info.groupBy("fp", "fp2", "n").agg({"doc_id": "min", "sig": "first"}).withColumnsRenamed({"min(doc_id)": "id", "first(sig)": "sig"})
     steps = list(N.prefix_pairs(texts, N.materialise(nodes, "n"), parts, N.Measure(), light=4))
     assert len(steps) > 1
     assert got(docs) == brute(rows)
@@ -77,6 +77,20 @@ def test_trees_and_bitmaps(seed):
     assert all(N.may_link(N.bitmap(base).tobytes(), len(base), N.bitmap(o).tobytes(), len(o), m) for o, w in zip(others, want) if w)
 
 
+def test_parity_signatures_bound_the_difference(spark):
+    r = np.random.default_rng(1)
+    base = np.unique(r.integers(0, 2**63, 130).astype(np.uint64))
+    sets = [np.unique(np.concatenate([base[r.random(len(base)) < q], r.integers(0, 2**63, k).astype(np.uint64)]))
+            for q in (1, 0.98, 0.9) for k in (0, 3, 12)] + [base[:1], base[:0]]
+    sigs = N.parities(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])).to_pylist()
+    assert len({len(x) for x in sigs}) > 2
+    near = [(i, j) for i in range(9) for j in range(9) if len(sigs[i]) <= 2 * len(sigs[j]) and len(sigs[j]) <= 2 * len(sigs[i])] + [(9, 10)]
+    rows = spark.createDataFrame([(i, j, sigs[i], sigs[j]) for i, j in near], "i int, j int, x array<long>, y array<long>")
+    for x in rows.select("i", "j", N.differing(rows.x, rows.y).alias("d")).collect():
+        apart = len(np.setxor1d(sets[x.i], sets[x.j]))
+        assert apart * 0.6 - 1 <= x.d <= apart, (x, apart)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 200), (300, 300)]
     out = defaultdict(set)
