@@ -54,6 +54,7 @@ WORDS, PERCENT = 4, 85
 HASHES = 6
 AGREE = 4             # of HASHES, for a star link to be worth a comparison
 LIGHT = 64
+FOLD = 4              # words that every signature is folded to, for a first bound
 COUNTERS = 1 << 20    # of hashed n-gram counts, whatever the number of n-grams
 BROADCAST_IDS = 1_000_000      # at most 8 MB of ids go to the executors; beyond, a shuffled join
 BROADCAST_GRAMS = 1_000_000
@@ -108,17 +109,28 @@ def _describe(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.Reco
 
 def parities(g: np.ndarray, at: np.ndarray) -> pa.Array:
     """Parity signature of each set, as 64-bit words: two to four bits per
-    n-gram, a power of two, 64 at least. The signature of half the size is the
+    n-gram, a power of two, FOLD words at least. The signature of half the size is the
     exclusive or of the halves."""
     out = []
     for a, b in zip(at[:-1], at[1:]):
-        size = 1 << max(6, int(2 * (b - a) - 1).bit_length() if b > a else 6)
+        size = max(64 * FOLD, 1 << int(2 * (b - a)).bit_length())
         odd = np.bincount((g[a:b] & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
         out.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
     ends = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out) if out else np.zeros(0, np.int64)))
 
 
+def folds(sig: Column) -> list[Column]:
+    """The FOLD words of a signature folded to that size."""
+    none = F.lit(0).cast("long")
+
+    def fold(k: int) -> Column:
+        mine = F.transform(sig, lambda v, i: F.when(i % FOLD == k, v).otherwise(none))
+        return F.aggregate(mine, none, lambda t, v: t.bitwiseXOR(v)).alias(f"f{k}")
+
+    return [fold(k) for k in range(FOLD)]
+
+
 def differing(x: Column, y: Column) -> Column:
     """Bits in which two parity signatures differ, the longer one folded; of
     sizes that may link, one is at most twice the other."""
@@ -330,14 +342,17 @@ def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure:
         full = len(found) + len(last) > BROADCAST_GRAMS
         use = spread.select("gram") if full else spread.select("gram").join(new, "gram", "left_anti")
         lists = kept.where(F.col("at") < F.col("p")).join(use, "gram")
-        lists = lists.join(nodes.select(F.col("id").alias("doc_id"), "sig"), "doc_id")
-        left = lists.select("gram", *(F.col(c).alias(c + "1") for c in ("doc_id", "n", "at", "component", "sig")))
-        right = lists.select("gram", *(F.col(c).alias(c + "2") for c in ("doc_id", "n", "at", "component", "sig")))
+        lists = lists.join(nodes.select(F.col("id").alias("doc_id"), "sig", *folds(F.col("sig"))), "doc_id")
+        words_of = [f"f{k}" for k in range(FOLD)]
+        left = lists.select("gram", *(F.col(c).alias(c + "1") for c in ("doc_id", "n", "at", "component", "sig", *words_of)))
+        right = lists.select("gram", *(F.col(c).alias(c + "2") for c in ("doc_id", "n", "at", "component", "sig", *words_of)))
         n1, n2, i, j = F.col("n1"), F.col("n2"), F.col("at1"), F.col("at2")
         bound = F.least(n1 - i, n2 - j) + F.least(i, j)
+        coarse = reduce(lambda x, y: x + y, [F.bit_count(F.col(f + "1").bitwiseXOR(F.col(f + "2"))) for f in words_of])
         yield (left.join(right, "gram")
                .where((F.col("doc_id1") < F.col("doc_id2")) & (F.col("component1") != F.col("component2"))
                       & measure.sizes(n1, n2) & ((100 + measure.percent) * bound >= measure.percent * (n1 + n2))
+                      & ((100 + measure.percent) * (n1 + n2 - coarse) >= 2 * measure.percent * (n1 + n2))
                       & ((100 + measure.percent) * (n1 + n2 - differing(F.col("sig1"), F.col("sig2"))) >= 2 * measure.percent * (n1 + n2)))
                .select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")))
         if full or not len(found):
