@@ -55,6 +55,7 @@ HASHES = 6
 AGREE = 4             # of HASHES, for a star link to be worth a comparison
 LIGHT = 64
 FOLD = 4              # words that every signature is folded to, for a first bound
+SIGNATURE = 16        # words of a signature at most: it travels with every posting
 COUNTERS = 1 << 20    # of hashed n-gram counts, whatever the number of n-grams
 BROADCAST_IDS = 1_000_000      # at most 8 MB of ids go to the executors; beyond, a shuffled join
 BROADCAST_GRAMS = 1_000_000
@@ -109,11 +110,12 @@ def _describe(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.Reco
 
 def parities(g: np.ndarray, at: np.ndarray) -> pa.Array:
     """Parity signature of each set, as 64-bit words: two to four bits per
-    n-gram, a power of two, FOLD words at least. The signature of half the size is the
-    exclusive or of the halves."""
+    n-gram, a power of two, FOLD words at least and SIGNATURE at most (longer sets
+    are bounded less by it, then by their bitmaps). The signature of half the size is
+    the exclusive or of the halves."""
     out = []
     for a, b in zip(at[:-1], at[1:]):
-        size = max(64 * FOLD, 1 << int(2 * (b - a)).bit_length())
+        size = min(max(64 * FOLD, 1 << int(2 * (b - a)).bit_length()), 64 * SIGNATURE)
         odd = np.bincount((g[a:b] & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
         out.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
     ends = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
