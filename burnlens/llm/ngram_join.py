@@ -361,10 +361,10 @@ def prefix_pairs(texts: DataFrame, nodes: DataFrame, parts: DataFrame, measure:
             return
         last = np.unique(np.concatenate([last, found]))
         demoted = new if demoted is None else demoted.unionByName(new)
-        # Only sets with such n-grams in the prefix itself go on; of those, four
+        # Only sets with such n-grams in the prefix itself go on; of those, eight
         # times as many n-grams are counted, so that few steps find them all.
         todo = materialise(kept.where(F.col("at") < F.col("p")).join(new, "gram", "left_semi").select("doc_id").distinct(), "again")
-        times *= 4
+        times *= 8  # a prefix is an eighth of a set or more at 85 %, so this is the whole set
 
 
 def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:

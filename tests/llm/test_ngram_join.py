@@ -98,3 +98,13 @@ def test_components(spark):
         out[r.component].add(r.id)
     assert out == {0: set(range(41)), 100: set(range(100, 160)), 200: {200, 201}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_sets_have_short_signatures(spark):
+    r = np.random.default_rng(2)
+    one = np.unique(r.integers(0, 2**63, 4000).astype(np.uint64))
+    sets = [one, one[r.random(len(one)) < 0.95], one[:300]]
+    sigs = N.parities(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])).to_pylist()
+    assert [len(x) for x in sigs[:2]] == [N.SIGNATURE] * 2
+    rows = spark.createDataFrame([(0, 0, 1, sigs[0], sigs[1])], "k int, i int, j int, x array<long>, y array<long>")
+    assert rows.select(N.differing(rows.x, rows.y).alias("d")).first().d <= len(np.setxor1d(sets[0], sets[1]))
