@@ -111,6 +111,23 @@ def test_cohort_ads_keep_rows_without_installs_apart(spark, models):
         assert model(sums).collect() == model(both).collect()
 
 
+def test_a_job_shuffles_the_ad_rows_once(spark, models):
+    """Daily metrics and cohort sums read the rows by creative: no Exchange of them, none before the sums."""
+    from burnlens.operators import cohort, skan
+    from burnlens.plans import refresh
+    from burnlens.sources import tables
+    run = refresh.Run(spark, models, tables.scratch_database(spark, "by_creative"), buckets=4)
+    run.stage_raw()
+    assert shuffles(physical(cohort.cohort_ads(run.models.stg_ad_stats))) == 0
+    plan = physical(run.models.int_creative_daily_metrics)
+    assert "ads_by_creative" in plan and "lineitem" not in plan and shuffles(plan) == 0
+    run.deal_facts()
+    for name in ("int_skan_cv_mapping", "int_daily_revenue"):
+        assert shuffles(physical(getattr(run.models, name))) == 1, name
+    assert "Exchange" not in physical(run.models.int_skan_cv_mapping.repartition(4, *skan.SKAN_KEYS)).split("Exchange", 1)[1]
+    run.discard()
+
+
 def test_quality_summary_copies_no_row(loaded):
     from burnlens.operators import quality
     plan = physical(quality.dq_summary(loaded.raw, loaded.mart_creative_burnout, loaded.stg_ad_stats))
