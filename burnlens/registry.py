@@ -118,7 +118,10 @@ def _mat_view(spark, sf):
     m = M(spark, sf)
     for name in Models.STAGING:
         getattr(m, name).createOrReplaceTempView(name)
-    return spark.sql("SELECT * FROM stg_creatives")
+    out = spark.sql("SELECT * FROM stg_creatives")
+    for name in Models.STAGING:  # the result is planned over the view; no other job of the session meets the names
+        spark.catalog.dropTempView(name)
+    return out
 
 
 @register("mat_table")
