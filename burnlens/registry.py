@@ -480,31 +480,39 @@ def _fn_safe_divide(spark, sf):
 
 
 # ----------------------------------------------------- incremental / backfill
-def _partial_models(spark, sf) -> Models:
+def _partial_models(m: Models) -> Models:
     """The state of the first run: ad days up to INCREMENTAL_CUTOFF."""
-    m = M(spark, sf)
     raw = dict(m.raw)
     raw["ad_daily_stats"] = raw["ad_daily_stats"].where(
         F.col("stat_date") <= F.lit(INCREMENTAL_CUTOFF))
     return Models(raw, m.as_of)
 
 
-def _first_run_target(spark, sf) -> str:
+def _by_creative(spark, sf) -> Models:
+    """Models over ad rows and creatives as a job writes them first, for both runs."""
+    run = refresh.Run(spark, M(spark, sf), tables.scratch_database(spark))
+    run.stage_raw()
+    return run.models
+
+
+def _first_run_target(spark, m: Models) -> str:
     name = f"{tables.scratch_database(spark)}.burnout_target"
-    return inc.full_refresh(_partial_models(spark, sf).mart_creative_burnout, name)
+    return inc.full_refresh(_partial_models(m).mart_creative_burnout, name)
 
 
 @register("inc_window_filter")
 def _inc_window_filter(spark, sf):
-    since = inc.watermark(spark, _first_run_target(spark, sf))
-    return inc.inc_window_filter(M(spark, sf).int_creative_daily_metrics, since).select(
+    m = _by_creative(spark, sf)
+    since = inc.watermark(spark, _first_run_target(spark, m))
+    return inc.inc_window_filter(m.int_creative_daily_metrics, since).select(
         "creative_id", "stat_date", "impressions", "ctr_7d_avg")
 
 
 @register("inc_delete_insert")
 def _inc_delete_insert(spark, sf):
-    target = _first_run_target(spark, sf)
-    return tables.read(spark, inc.incremental_burnout(spark, M(spark, sf).int_creative_daily_metrics, target, target))
+    m = _by_creative(spark, sf)
+    target = _first_run_target(spark, m)
+    return tables.read(spark, inc.incremental_burnout(spark, m.int_creative_daily_metrics, target, target))
 
 
 @register("inc_delete_insert_compat")
@@ -512,8 +520,9 @@ def _inc_delete_insert_compat(spark, sf):
     """As inc_delete_insert, with the reference's exact window semantics: the
     best CPI of a re-processed row is the minimum over the re-processed dates
     only."""
-    target = _first_run_target(spark, sf)
-    inc.incremental_burnout(spark, M(spark, sf).int_creative_daily_metrics, target, target, compat_window=True)
+    m = _by_creative(spark, sf)
+    target = _first_run_target(spark, m)
+    inc.incremental_burnout(spark, m.int_creative_daily_metrics, target, target, compat_window=True)
     return tables.read(spark, target)
 
 
@@ -546,7 +555,7 @@ def _refresh_daily_incremental(spark, sf):
     """Two daily runs on one database: the first sees the ad days up to
     INCREMENTAL_CUTOFF, the second goes on from its state."""
     out = tables.scratch_database(spark, "daily")
-    refresh.refresh_daily(spark, _partial_models(spark, sf), out, on_failure="publish")
+    refresh.refresh_daily(spark, _partial_models(M(spark, sf)), out, on_failure="publish")
     refresh.refresh_daily(spark, M(spark, sf), out, previous=out, on_failure="publish")
     return tables.read(spark, f"{out}.mart_creative_burnout")
 

@@ -96,7 +96,12 @@ def incremental_burnout(spark: SparkSession, metrics: DataFrame, target: str | N
     since = watermark(spark, target)
     if since is None:
         return full_refresh(creative_burnout(metrics), out)
-    tables.publish(spark, stage_upsert(creative_burnout(metrics, since=since, compat_window=compat_window), target, out, since))
+    # Written first: the upsert reads it for its keys and for its rows.
+    batch = tables.stage(creative_burnout(metrics, since=since, compat_window=compat_window), f"{out}_batch")
+    try:
+        tables.publish(spark, stage_upsert(tables.read_staged(spark, batch), target, out, since))
+    finally:
+        tables.discard(spark, batch)
     return out
 
 

@@ -161,6 +161,19 @@ def test_load_raw_round_trip_and_backfill_job(spark, models):
     assert back.count() == full.count()
 
 
+def test_an_upsert_computes_its_rows_once(spark, models, monkeypatch):
+    """The batch is read as it was written, for its keys and for its rows, and leaves no table."""
+    seen = []
+    whole = inc.stage_upsert
+    monkeypatch.setattr(inc, "stage_upsert", lambda batch, *rest: (seen.append(batch), whole(batch, *rest))[1])
+    db = tables.scratch_database(spark, "t_once")
+    inc.full_refresh(models.mart_creative_burnout.where(F.col("stat_date") <= F.lit(T)), f"{db}.mart")
+    inc.incremental_burnout(spark, models.int_creative_daily_metrics, f"{db}.mart", f"{db}.mart")
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "mart_batch" in plan and "lineitem" not in plan and "Window" not in plan
+    assert not [t.name for t in spark.catalog.listTables(db) if "batch" in t.name]
+
+
 def test_daily_job_runs_incrementally_on_previous_output(spark, models):
     """Day 1 full run on data to T, day 2 run on all data with the previous
     output: the burnout mart equals a full refresh on the re-processed dates
