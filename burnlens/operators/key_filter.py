@@ -1,14 +1,15 @@
 """Uniqueness over many loads: Bloom filters of the loaded keys.
 
 A month part's keys are kept as a Bloom filter next to the table: bits in
-rows of 32,768 (``part``, ``bucket``, ``bits``). When new rows come, their keys
+rows of 32,768 (``part``, ``bucket``, ``bits``). All bits of a key lie in one bucket. When new rows come, their keys
 probe the filters of the parts that stay; only keys with all bits set are possible repeats, and only
 those meet the stored keys exactly. So a load is checked by reading its own keys, the filters (some 2 bytes
 a key) and, if there are candidates, the stored key column against that short list.
 
-Everything is built-in functions: bits are collected by ``bitmap_construct_agg`` and parts
-added by ``bitmap_or_agg``, both combined before the shuffle. No row holds more than one 4 KB
-bucket, and a hot key is one bit.
+Everything is built-in functions: the keys' distinct hashes are dealt out by bucket, where
+``bitmap_construct_agg`` collects their bits, and parts are added by ``bitmap_or_agg``. What is shuffled is a
+hash a key (a bitmap sent by each task that has a bit of it would grow with tasks times buckets). No row holds more
+than one 4 KB bucket, and a hot key is one hash before the shuffle.
 
 The result is exact: a Bloom filter misses no key that it holds, and the
 candidates are counted in the tables.
@@ -32,21 +33,22 @@ def bucket_count(keys: int) -> int:
     return 1 << (need - 1).bit_length()
 
 
-def _places(key: Column, buckets: int) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(key, F.lit(k)), F.lit(buckets * BUCKET_BITS)) for k in range(PROBES)])
+def _bucket(h: Column, buckets: int) -> Column:
+    return F.pmod(h, F.lit(buckets)).cast("long")
 
 
-def _probed(keys: DataFrame, buckets: int) -> DataFrame:
-    """``keys`` (with a column key) once for each of its bits: bucket and bit."""
-    place = F.col("__place")
-    return (keys.withColumn("__place", F.explode(_places(F.col("key"), buckets)))
-            .withColumn("bucket", F.floor(place / BUCKET_BITS)).withColumn("bit", F.pmod(place, F.lit(BUCKET_BITS))).drop("__place"))
+def _bits(h: Column) -> list[Column]:
+    """The places in its bucket of a key with this hash."""
+    return [F.pmod(F.xxhash64(h, F.lit(k)), F.lit(BUCKET_BITS)) for k in range(PROBES)]
 
 
 def build(keys: DataFrame, buckets: int) -> DataFrame:
     """The filters (FILTER) of keys given as (part, key); NULL keys have no bits."""
-    return (_probed(keys.where(F.col("key").isNotNull()).select("part", "key"), buckets)
-            .groupBy("part", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    hashed = keys.where(F.col("key").isNotNull()).select("part", F.xxhash64("key").alias("h")).distinct()
+    dealt = hashed.withColumn("bucket", _bucket(F.col("h"), buckets)).repartition("part", "bucket")
+    each = dealt.groupBy("part", "bucket").agg(*[F.bitmap_construct_agg(b).alias(f"b{k}") for k, b in enumerate(_bits(F.col("h")))])
+    return (each.select("part", "bucket", F.explode(F.array(*[f"b{k}" for k in range(PROBES)])).alias("bits"))
+            .groupBy("part", "bucket").agg(F.bitmap_or_agg("bits").alias("bits")))
 
 
 def _is_set(bits: Column, bit: Column) -> Column:
@@ -57,8 +59,11 @@ def _is_set(bits: Column, bit: Column) -> Column:
 def possible_repeats(keys: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
     """The distinct ``keys`` (column key) that may be in one of the filters."""
     held = filters.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    return (_probed(keys.where(F.col("key").isNotNull()).select("key").distinct(), buckets).join(held, "bucket")
-            .where(_is_set(F.col("bits"), F.col("bit"))).groupBy("key").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") == PROBES).select("key"))
+    new = keys.where(F.col("key").isNotNull()).select("key").distinct().withColumn("__h", F.xxhash64("key"))
+    found = new.withColumn("bucket", _bucket(F.col("__h"), buckets)).join(held, "bucket")
+    for bit in _bits(F.col("__h")):
+        found = found.where(_is_set(F.col("bits"), bit))
+    return found.select("key")
 
 
 def counted(keys: DataFrame) -> DataFrame:

@@ -44,6 +44,14 @@ def test_filters_miss_no_key(spark):
     assert filters.where("length(bits) <> 4096").count() == 0
 
 
+def test_filters_shuffle_a_hash_a_key(spark):
+    """No bitmaps are sent: each task would send one for each bucket that it has a bit of."""
+    parts = spark.range(2000).select((F.col("id") % 3).cast("string").alias("part"), F.concat(F.lit("k"), "id").alias("key"))
+    lines = key_filter.build(parts, 4)._jdf.queryExecution().executedPlan().toString().splitlines()
+    sent = [line for k, line in enumerate(lines) if k and "Exchange" in lines[k - 1]]
+    assert sent and not any("bitmap" in line for line in sent)
+
+
 def test_appends_equal_the_exact_test(spark):
     """Repeats within the old part, within the new one, across both, across
     three loads, undated rows, replaced rows that were a repeat."""
