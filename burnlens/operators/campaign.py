@@ -61,7 +61,8 @@ def campaign_daily(ads: DataFrame, campaigns: DataFrame) -> DataFrame:
     )
 
 
-BITMAP = 32768  # bits of a bitmap of the built-in functions
+BITMAP = 32768  # codes of a bitmap
+WORD = 64
 
 
 def creative_codes(ads: DataFrame) -> DataFrame:
@@ -72,20 +73,26 @@ def creative_codes(ads: DataFrame) -> DataFrame:
 
 def active_state(ads: DataFrame, codes: DataFrame) -> DataFrame:
     """(stat_date, campaign_id, network, country, bucket, creatives): the daily
-    rows' active creatives as bitmaps of their codes. A distinct count can't be added
+    rows' active creatives as bitmaps of their codes, of which only the words of 64 bits that
+    have any are held (word, bits): a day of few creatives takes a few bytes. A distinct count can't be added
     up over days; a bitmap can."""
-    return (ads.select("stat_date", "campaign_id", "network", "country", "creative_id").join(codes, ["campaign_id", "creative_id"])
-            .groupBy("stat_date", "campaign_id", "network", "country", F.floor(F.col("code") / BITMAP).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.pmod("code", F.lit(BITMAP))).alias("creatives")))
+    keys = ["stat_date", "campaign_id", "network", "country"]
+    bit = F.expr(f"shiftleft(1L, CAST(pmod(code, {WORD}) AS INT))")
+    words = (ads.select(*keys, "creative_id").join(codes, ["campaign_id", "creative_id"])
+             .groupBy(*keys, F.floor(F.col("code") / WORD).alias("at")).agg(F.bit_or(bit).alias("bits")))
+    per = BITMAP // WORD
+    return (words.groupBy(*keys, F.floor(F.col("at") / per).alias("bucket"))
+            .agg(F.collect_list(F.struct(F.pmod("at", F.lit(per)).cast("int").alias("word"), F.col("bits"))).alias("creatives")))
 
 
 def active_creatives(state: DataFrame, *grain) -> DataFrame:
     """Exact numbers of active creatives by ``grain`` (columns; the campaign is
     always among the result's keys), from ``active_state`` rows alone."""
     keys = [g if isinstance(g, Column) else F.col(g) for g in grain]
-    whole = state.groupBy("campaign_id", "bucket", *keys).agg(F.bitmap_or_agg("creatives").alias("creatives"))
-    names = [c for c in whole.columns if c not in ("bucket", "creatives")]
-    return whole.groupBy(*names).agg(F.sum(F.bitmap_count("creatives")).alias("active_creatives"))
+    words = state.select("*", F.inline("creatives"))
+    whole = words.groupBy("campaign_id", "bucket", "word", *keys).agg(F.bit_or("bits").alias("bits"))
+    names = [c for c in whole.columns if c not in ("bucket", "word", "bits")]
+    return whole.groupBy(*names).agg(F.sum(F.bit_count("bits").cast("bigint")).alias("active_creatives"))
 
 
 def campaign_performance(ads: DataFrame, campaigns: DataFrame) -> DataFrame:

@@ -105,6 +105,15 @@ def test_bitmaps_equal_distinct_counts(spark, models):
     assert campaign.active_creatives(state.where("false")).count() == 0
 
 
+def test_a_day_of_few_creatives_is_a_small_state(spark):
+    """Two creatives of a campaign: one word of 64 bits for each day, not a whole bitmap."""
+    ads = spark.range(4).select(F.date_add(F.lit(D0), (F.col("id") % 2).cast("int")).alias("stat_date"), F.lit("c").alias("campaign_id"), F.lit("n").alias("network"),
+                                F.lit("x").alias("country"), F.concat(F.lit("k"), F.floor(F.col("id") / 2)).alias("creative_id"))
+    state = campaign.active_state(ads, campaign.creative_codes(ads))
+    assert [[tuple(w) for w in r.creatives] for r in state.collect()] == [[(0, 3)], [(0, 3)]]
+    assert campaign.active_creatives(state).first()["active_creatives"] == 2
+
+
 def test_a_campaign_of_many_creatives(spark):
     ads = spark.range(70_000).select(F.lit(D0).alias("stat_date"), F.lit("c").alias("campaign_id"), F.lit("n").alias("network"), F.lit("x").alias("country"),
                                      F.concat(F.lit("k"), F.col("id")).alias("creative_id"))
