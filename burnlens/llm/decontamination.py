@@ -37,7 +37,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +54,7 @@ LEAST_IDF = 0.1           # of a word that an item needs
 COSINE, SHARE = 0.6, 0.25
 LCS_SURE, LCS_LIKELY, ANSWER_SHARE, ANSWER_FOUND = 0.75, 0.6, 0.25, 0.6
 ITEMS_AT_ONCE = 20_000
+FAN_IN = 4                # sketches (of 6 MB) that a task adds up
 LEAKS = "doc_id long, item_id long, cosine double, lcs double, answer double, start_word long, end_word long"
 
 
@@ -105,8 +105,14 @@ def _sketch(batches: Iterable[pa.RecordBatch], wanted: np.ndarray | None) -> Ite
     yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([df.tobytes()], pa.binary())], names=["rows", "df"])
 
 
-def _add(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return a[0] + b[0], a[1] + b[1]
+def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of sketches, one at a time."""
+    rows, df = np.zeros(ROWS * COLUMNS, np.float32), np.zeros(WIDE + 1, np.int64)
+    for batch in batches:
+        for r, d in zip(batch.column("rows"), batch.column("df")):
+            rows += np.frombuffer(r.as_buffer(), np.float32)
+            df += np.frombuffer(d.as_buffer(), np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([df.tobytes()], pa.binary())], names=["rows", "df"])
 
 
 def sketch(texts: DataFrame, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
@@ -114,18 +120,17 @@ def sketch(texts: DataFrame, wanted: np.ndarray | None = None) -> tuple[np.ndarr
     passages), of the words whose column is ``wanted`` (None: of all).
 
     The tasks' sketches, of one fixed size, are added in a tree on the
-    executors; the driver gets the one sum."""
-    parts = texts.mapInArrow(lambda b: _sketch(b, wanted), "rows binary, df binary").rdd.map(
-        lambda r: (np.frombuffer(bytes(r["rows"]), np.float32), np.frombuffer(bytes(r["df"]), np.int64)))
-    n = parts.getNumPartitions()
+    executors, each step in tasks of its own with one Python worker; the driver gets the one sum."""
+    schema = "rows binary, df binary"
+    n = texts.rdd.getNumPartitions()
+    parts = texts.mapInArrow(lambda b: _sketch(b, wanted), schema)
     while n > 1:
-        n = -(-n // 16)
-        parts = (parts.mapPartitionsWithIndex(lambda i, xs, n=n: ((i % n, x) for x in xs))
-                 .reduceByKey(_add, n).values())
+        n = -(-n // FAN_IN)
+        parts = parts.repartition(n).mapInArrow(_added, schema)
     got = parts.collect()
     if not got:
         return np.zeros((ROWS, COLUMNS), np.float32), np.zeros(WIDE, np.int64), 0
-    rows, df = reduce(_add, got)
+    rows, df = (np.frombuffer(bytes(got[0][c]), t) for c, t in (("rows", np.float32), ("df", np.int64)))
     return rows.reshape(ROWS, COLUMNS), df[:WIDE], int(df[WIDE])
 
 
