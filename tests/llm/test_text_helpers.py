@@ -50,3 +50,16 @@ def test_shingles_of_short_texts():
 def test_long_text_is_a_chunk_of_its_own():
     got = [len(d) for _, d, _ in chunks(["ab", "c" * 50, "d", "e"], 10)]
     assert got == [2, 50, 2]
+
+
+def test_a_chunk_takes_little_memory():
+    """The features of 12 MB of texts, a chunk at a time, never hold many times a chunk."""
+    import tracemalloc
+    from burnlens.llm import classifier
+    texts = pa.array(["Some words | of 3 lines\nand more # words " * 60] * 5000)
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    tracemalloc.start()
+    rows = sum(len(classifier.text_features(raw, off)) for _, raw, off in C.text_chunks([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 5000 and peak < 100e6
